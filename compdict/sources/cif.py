@@ -112,6 +112,28 @@ def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def in_parts(lines: DataFrame, max_lines: int = 2_000_000) -> DataFrame:
+    """Add ``part`` to ``(doc, line_no, line)``, cutting documents above ``max_lines`` lines.
+
+    The document sizes are looked at first; nothing is joined when none is too large.
+    Line numbers may have gaps but should be spread evenly.
+    """
+    sizes = (
+        lines.groupBy("doc")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("line_no").alias("_low"), F.max("line_no").alias("_high"))
+        .filter(F.col("_n") > max_lines)
+    )
+    if sizes.isEmpty():
+        return lines.withColumn("part", F.lit(0).cast("long"))
+    share = (F.col("line_no") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
+    part = F.floor(share * F.ceil(F.col("_n") / max_lines)) + 1
+    return (
+        lines.join(sizes, "doc", "left")
+        .withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
+        .drop("_n", "_low", "_high")
+    )
+
+
 # ------------------------------------------------------------------- units
 
 def _unquote(token: Column) -> Column:
