@@ -1 +1,79 @@
-"""Queries."""
+"""Keys, references, not-null rules, labels, unknown components."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from compdict.operators import quality
+from compdict.queries.registry import Roles, query
+
+
+@query("unique_violations", """
+SELECT comp_id, atom_id, count(*) AS n FROM atom GROUP BY comp_id, atom_id HAVING count(*) > 1
+""")
+def unique_violations(r: Roles) -> DataFrame:
+    return quality.unique_violations(r.atom, ["comp_id", "atom_id"])
+
+
+@query("fk_violations", """
+WITH refs AS (SELECT 'atom_id_1' AS reference, comp_id AS key_1, atom_id_1 AS key_2 FROM bond
+  UNION ALL SELECT 'atom_id_2', comp_id, atom_id_2 FROM bond)
+SELECT reference, key_1, key_2, count(*) AS n FROM refs
+WHERE NOT EXISTS (SELECT 1 FROM atom WHERE comp_id = key_1 AND atom_id = key_2)
+GROUP BY reference, key_1, key_2
+""")
+def fk_violations(r: Roles) -> DataFrame:
+    refs = {c: ("comp_id", c) for c in ("atom_id_1", "atom_id_2")}
+    return quality.reference_violations(r.bond, refs, r.atom, ("comp_id", "atom_id"))
+
+
+@query("orphan_components", """
+SELECT 'comp_id' AS reference, comp_id AS key_1, count(*) AS n FROM feature
+WHERE comp_id NOT IN (SELECT id FROM component WHERE pdbx_replaced_by IS NULL) GROUP BY comp_id
+""")
+def orphan_components(r: Roles) -> DataFrame:
+    parents = r.component.filter("pdbx_replaced_by IS NULL")
+    return quality.reference_violations(r.feature, {"comp_id": ("comp_id",)}, parents, ("id",))
+
+
+@query("not_null_violations", """
+SELECT comp_id, ordinal, 'descriptor' AS "column" FROM descriptor WHERE descriptor IS NULL
+""")
+def not_null_violations(r: Roles) -> DataFrame:
+    return quality.not_null_violations(r.descriptor, ["descriptor", "type"], ["comp_id", "ordinal"])
+
+
+@query("label_mismatch", """
+SELECT id, 'chem_comp_' || id AS label FROM component
+WHERE 'chem_comp_' || id NOT IN (SELECT CASE WHEN id IN (SELECT id FROM local) THEN 'chem_comp_' ELSE 'chem_comp' END || id FROM component)
+""")
+def label_mismatch(r: Roles) -> DataFrame:
+    """Labels against framecodes, which carry the same prefix only where held locally."""
+    labels = r.component.select("id", F.concat(F.lit("chem_comp_"), F.col("id")).alias("label"))
+    held = r.local.select(F.col("id").alias("held"))
+    frames = r.component.join(held, F.col("id") == F.col("held"), "left").select(
+        F.concat(F.when(F.col("held").isNotNull(), "chem_comp_").otherwise("chem_comp"), F.col("id")).alias("frame")
+    )
+    return quality.label_mismatch(labels, frames, "label", "frame")
+
+
+_ENTRIES = """SELECT CAST(l_orderkey AS STRING) AS ID,
+  CASE WHEN l_linenumber = 7 THEN 'draft' ELSE CAST(l_suppkey AS STRING) END AS Entry_ID FROM {lineitem}"""
+
+
+@query("unknown_components", f"""
+SELECT DISTINCT "ID", CASE WHEN "Entry_ID" <> 'draft' THEN CAST("Entry_ID" AS DECIMAL(38, 0)) END AS "Entry_ID"
+FROM ({_ENTRIES.format(lineitem='lineitem')}) e WHERE "ID" NOT IN (SELECT DISTINCT id FROM local)
+""")
+def unknown_components(r: Roles) -> DataFrame:
+    entries = r.spark.sql(_ENTRIES, lineitem=r.lineitem)
+    return quality.unknown_components(entries, r.local.withColumnRenamed("id", "ID"))
+
+
+@query("unknown_count", f"""
+SELECT count(*) AS n FROM (SELECT DISTINCT "ID", "Entry_ID"
+FROM ({_ENTRIES.format(lineitem='lineitem')}) e WHERE "ID" NOT IN (SELECT DISTINCT id FROM local)) x
+""")
+def unknown_count(r: Roles) -> DataFrame:
+    return unknown_components(r).agg(F.count(F.lit(1)).alias("n"))

@@ -208,7 +208,7 @@ def faulty_documents(r: Roles) -> DataFrame:
         text(name, F.lit(" A1 A2")),
         variant(text(name, F.lit(" A2 'A'3'")), (1, "x A2")),
         variant("#", (6, ";never closed")),
-    ]).withColumn("part", F.lit(0).cast("long"))
+    ])
 
 
 @query("cif_ragged_rejects", """
@@ -249,7 +249,7 @@ def key_mismatch(r: Roles) -> DataFrame:
     lines = header(r.orders, text("c", key("o_orderkey")), [
         text("data_", key("o_orderkey")),
         text("_chem_comp.id ", F.when(F.col("o_orderstatus") == "P", "x").otherwise("c"), key("o_custkey")),
-    ]).withColumn("part", F.lit(0).cast("long"))
+    ])
     rows = cif.category_rows(order_segments(r, lines), {"chem_comp": ("id",)})
     return cif.key_mismatch(rows, F.upper("doc"))
 
@@ -283,6 +283,6 @@ def header_probe(r: Roles) -> DataFrame:
         text("_chem_comp.pdbx_release_status ", quoted(F.col("pdbx_release_status"))),
         text("_chem_comp.pdbx_replaced_by ", quoted(F.col("pdbx_replaced_by"))),
         text("_chem_comp.pdbx_subcomponent_list ", quoted(F.col("pdbx_subcomponent_list"))),
-    ]).withColumn("part", F.lit(0).cast("long"))
+    ])
     segs = order_segments(r, lines)
     return status.header(cif.header_text(segs), cif.document_problems(segs))

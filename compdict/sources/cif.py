@@ -1,17 +1,16 @@
 """CIF text as Spark tables: scan, units, segments, rows, rejects, header.
 
-The unit of input is a *line*, not a file: ``(doc, part, line_no, line)``.
-
-* ``doc``      names the document (one component),
-* ``part``     is 0 when the whole document is in one part; a document cut into
-  several pieces has parts > 0, in document order,
-* ``line_no``  orders the lines of a part.
-
-Files larger than a scan split arrive cut at the split borders, and a table may
-cut its own large documents wherever it likes.  All windows run per
-``(doc, part)``, so one huge document is spread over its parts; what a part must
-know about the earlier ones (is a text field open, which loop goes on) comes from
-a summary of at most two rows per part, built only for documents that are cut.
+The unit of input is a *line*, not a file: ``(doc, line_no, line)``, where ``doc``
+names the document (one component) and ``line_no`` orders its lines.  Input that
+holds documents too large for one task has a further column ``part``: 0 for a
+document in one piece, else the number of the piece, growing along the document;
+``line_no`` then orders the lines of a part.
+
+Files larger than a scan split arrive cut at the split borders, and a table cuts
+its large documents with ``in_parts``.  All windows run per ``(doc, part)``, so one
+huge document is spread over its parts; what a part must know about the earlier
+ones (is a text field open, which loop goes on) comes from a summary of at most
+two rows per part.  Without a ``part`` column none of that is in the plan.
 
 Loop rows that sit on one line, which is nearly all of them, stay arrays from the
 line to the table row.  Only values that run over lines are split into cells and
@@ -40,6 +39,15 @@ VALUE_KINDS = ("val", "text", "cont")
 PLACE = ("line_no", "u")
 
 
+def _is_cut(df: DataFrame) -> bool:
+    return "part" in df.columns
+
+
+def _piece(df: DataFrame) -> list[str]:
+    """The key of what one task may hold: a document or a part of one."""
+    return ["doc", "part"] if _is_cut(df) else ["doc"]
+
+
 # ---------------------------------------------------------------- scanning
 
 def _directory(spark: SparkSession, directory: str) -> str:
@@ -69,7 +77,7 @@ def component_id(path: Column, extension: str = "cif") -> Column:
 
 
 def scan_files(spark: SparkSession, directory: str) -> DataFrame:
-    """``(doc, id)`` of every wanted file; reads names only, no content."""
+    """``(doc, id, size)`` of every wanted file; reads the listing only, no content."""
     base = _directory(spark, directory)
     doc = below(F.col("_metadata.file_path"), base)
     return (
@@ -77,19 +85,27 @@ def scan_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.cif")
         .load(directory)
-        .select(doc.alias("doc"))
+        .select(doc.alias("doc"), F.col("length").alias("size"))
         .filter(wanted_path(F.col("doc")))
         .withColumn("id", component_id(F.col("doc")))
     )
 
 
+def _bytes(spark: SparkSession, setting: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
+
+
 def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """``(doc, part, line_no, line)`` of every wanted file below a directory.
+    """Lines of every wanted file below a directory.
 
-    A file that fits one scan split is part 0; else each split is a part.
-    ``line_no`` grows within a split, which is all the order that is needed.
+    When some file may be larger than a scan split the lines have a ``part``: 0 for a
+    file within one split, else each split is a part.  ``line_no`` grows within a
+    split, which is all the order that is needed.
     """
     base = _directory(spark, directory)
+    # no split is smaller than this
+    whole = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
+    cut = not scan_files(spark, directory).filter(F.col("size") > whole).isEmpty()
     meta = F.col("_metadata")
     raw = (
         spark.read.option("recursiveFileLookup", True)
@@ -104,27 +120,29 @@ def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
         )
         .filter(wanted_path(below(F.col("path"), base)))
     )
+    part = F.when(F.col("size") > F.col("length"), F.col("start") + 1).otherwise(0).cast("long").alias("part")
     return raw.select(
         below(F.col("path"), base).alias("doc"),
-        F.when(F.col("size") > F.col("length"), F.col("start") + 1).otherwise(0).cast("long").alias("part"),
+        *([part] if cut else []),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
 def in_parts(lines: DataFrame, max_lines: int = 2_000_000) -> DataFrame:
-    """Add ``part`` to ``(doc, line_no, line)``, cutting documents above ``max_lines`` lines.
+    """Cut documents above ``max_lines`` lines into parts.
 
-    The document sizes are looked at first; nothing is joined when none is too large.
+    The document sizes are looked at first; when none is too large the lines stay as they are.
     Line numbers may have gaps but should be spread evenly.
     """
+    too_large = lines.groupBy("doc").count().filter(F.col("count") > max_lines).drop("count")
+    if too_large.isEmpty():
+        return lines
     sizes = (
-        lines.groupBy("doc")
+        lines.join(too_large, "doc", "left_semi")
+        .groupBy("doc")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("line_no").alias("_low"), F.max("line_no").alias("_high"))
-        .filter(F.col("_n") > max_lines)
     )
-    if sizes.isEmpty():
-        return lines.withColumn("part", F.lit(0).cast("long"))
     share = (F.col("line_no") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
     part = F.floor(share * F.ceil(F.col("_n") / max_lines)) + 1
     return (
@@ -170,7 +188,7 @@ def _open_text(lines: DataFrame) -> DataFrame:
 
 
 def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
-    """Split lines into units ``(doc, part, line_no, u, kind, vals, broken)``.
+    """Split lines into units ``(doc, [part,] line_no, u, kind, vals, broken)``.
 
     ``kind`` is data, loop, tag, val, text (first line of a text field), cont
     (a further line of it) or reserved.  A line of nothing but values is one unit.
@@ -178,12 +196,14 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
     text and bare null tokens become NULL here.
     """
     semi = F.col("line").startswith(";")
-    before = Window.partitionBy("doc", "part").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        lines.withColumn("local", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
-        .join(_open_text(lines), ["doc", "part"], "left")
-        .withColumn("inside", (F.col("local") + F.coalesce("semis", F.lit(0))) % 2 == 1)
-    )
+    piece = _piece(lines)
+    before = Window.partitionBy(*piece).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = lines.withColumn("semi", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
+    if _is_cut(lines):
+        placed = placed.join(_open_text(lines), piece, "left").withColumn(
+            "semi", F.col("semi") + F.coalesce("semis", F.lit(0))
+        )
+    placed = placed.withColumn("inside", F.col("semi") % 2 == 1)
     rest = F.substring("line", 2, 1 << 30)
     body = F.when(semi & F.col("inside"), rest).when(~semi & ~F.col("inside"), F.col("line"))
     text = (
@@ -213,17 +233,17 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
         .when(F.size("tokens") > 0, F.array(F.struct(F.lit("val").alias("kind"), plain.alias("vals"))))
     )
     return (
-        placed.select("doc", "part", "line_no", body.alias("body"), text.alias("text"))
+        placed.select(*piece, "line_no", body.alias("body"), text.alias("text"))
         .select(
-            "doc", "part", "line_no", "text", tokens.alias("tokens"), quoted.alias("quoted"),
+            *piece, "line_no", "text", tokens.alias("tokens"), quoted.alias("quoted"),
             F.col("body").rlike(NOT_ALL_VALUES).alias("mixed"),
         )
         .select(
-            "doc", "part", "line_no",
+            *piece, "line_no",
             F.when(F.col("quoted"), F.exists("tokens", _broken)).otherwise(False).alias("broken"),
             F.posexplode(parsed).alias("u", "unit"),
         )
-        .select("doc", "part", "line_no", "u", "unit.kind", "unit.vals", "broken")
+        .select(*piece, "line_no", "u", "unit.kind", "unit.vals", "broken")
     )
 
 
@@ -284,7 +304,8 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     Adds ``spart, sseg`` (identity of the segment within the document), ``loop``,
     ``tags`` and ``i``, the index of the unit's first value within the segment.
     """
-    order = Window.partitionBy("doc", "part").orderBy(*PLACE)
+    piece = _piece(unit_rows)
+    order = Window.partitionBy(*piece).orderBy(*PLACE)
     closed = F.lag("kind").over(order).isin("data", *VALUE_KINDS)
     starts = F.col("kind").isin("data", "loop") | ((F.col("kind") == "tag") & F.coalesce(closed, F.lit(False)))
     n = F.when(F.col("kind").isin("val", "text"), F.size("vals")).otherwise(0)
@@ -294,7 +315,7 @@ def segments(unit_rows: DataFrame) -> DataFrame:
         .withColumn("n", n)
         .drop("start")
     )
-    inside = Window.partitionBy("doc", "part", "seg").orderBy(*PLACE)
+    inside = Window.partitionBy(*piece, "seg").orderBy(*PLACE)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = (
         pieces.withColumn("done_here", F.coalesce(
@@ -302,17 +323,27 @@ def segments(unit_rows: DataFrame) -> DataFrame:
         .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", F.col("vals")[0])).over(whole))
         .withColumn("own_loop", F.first("kind").over(whole) == "loop")
     )
-    first = F.col("done_here") + F.coalesce("done", F.lit(0))
+    shape = [*piece, *PLACE, "kind", "vals", "n", "broken"]
+    if not _is_cut(unit_rows):
+        return local.select(
+            *shape, F.lit(0).cast("long").alias("spart"), F.col("seg").alias("sseg"),
+            F.col("own_loop").alias("loop"), F.col("own_tags").alias("tags"), _index(F.col("done_here")),
+        )
     return local.join(_continued(pieces), ["doc", "part", "seg"], "left").select(
-        "doc", "part", "line_no", "u", "kind", "vals", "n", "broken",
+        *shape,
         F.coalesce("spart", "part").alias("spart"),
         F.coalesce(F.col("sseg"), F.col("seg")).alias("sseg"),
         F.coalesce("in_loop", "own_loop").alias("loop"),
         F.coalesce("all_tags", "own_tags").alias("tags"),
-        F.when(F.col("kind") == "cont", first - 1).otherwise(first).alias("i"),
+        _index(F.col("done_here") + F.coalesce("done", F.lit(0))),
     )
 
 
+def _index(done: Column) -> Column:
+    """Index of a unit's first value; a further line of a text field belongs to the value before."""
+    return F.when(F.col("kind") == "cont", done - 1).otherwise(done).alias("i")
+
+
 # -------------------------------------------------------------------- rows
 
 _SEGMENT = ["doc", "spart", "sseg"]
@@ -323,49 +354,134 @@ def _category(tag: Column) -> Column:
 
 
 def _column(tag: Column) -> Column:
-    return F.lower(F.split(tag, r"\.")[1])
+    return F.coalesce(F.lower(F.split(tag, r"\.")[1]), F.lit(""))
 
 
-def segment_rows(segs: DataFrame) -> DataFrame:
-    """Segments as rows ``(doc, spart, sseg, row, loop, tags, vals)``, ``vals`` in tag order."""
-    values = segs.filter(F.col("kind").isin(*VALUE_KINDS) & (F.size("tags") > 0))
+def _plain_tag(tag: Column) -> Column:
+    return F.concat(F.lit("_"), _category(tag), F.lit("."), _column(tag))
+
+
+def _by_row(values: DataFrame) -> DataFrame:
+    """Cut value units at table-row borders: ``row``, the index ``i`` of the first value, ``vals``.
+
+    ``i`` counts from the start of the segment.  Nearly every unit lies within one row.
+    """
     width = F.size("tags")
-    aligned = (F.col("kind") == "val") & (F.size("vals") == width) & (F.col("i") % width == 0)
-    straight = values.filter(aligned).select(
-        *_SEGMENT, F.floor(F.col("i") / width).alias("row"), "loop", "tags", "vals"
+    first = F.floor(F.col("i") / width)
+    last = F.floor((F.col("i") + F.greatest("n", F.lit(1)) - 1) / width)
+
+    def piece(r: Column) -> Column:
+        low = F.greatest("i", r * width)
+        high = F.least((r + 1) * width, F.col("i") + F.col("n"))
+        return F.struct(
+            r.alias("row"), low.cast("long").alias("i"),
+            F.slice("vals", (low - F.col("i") + 1).cast("int"), (high - low).cast("int")).alias("vals"),
+        )
+
+    whole = F.array(F.struct(first.alias("row"), F.col("i").cast("long").alias("i"), F.col("vals").alias("vals")))
+    cuts = F.when(first == last, whole).otherwise(F.transform(F.sequence(first, last), piece))
+    others = [c for c in values.columns if c not in ("row", "i", "vals", "n", "broken")]
+    return values.select(*others, F.inline(cuts))
+
+
+def _joined(cells: Column) -> Column:
+    """The value of a cell from its pieces: one piece as it is, lines of a text field joined."""
+    return F.when(F.size(cells) == 1, cells[0]["v"]).otherwise(F.array_join(F.transform(cells, lambda c: c["v"]), "\n"))
+
+
+def _gathered(values: DataFrame, merge_free: bool) -> DataFrame:
+    """Rows of uncut documents: ``(doc, category, spart, sseg, row, loop, tags, vals)``.
+
+    Works within the partitions of the segment step, without another shuffle.  A group
+    is one table row; with ``merge_free`` all free tags of a category are one group,
+    and a repeated tag keeps its last value.
+    """
+    category = _category(F.col("tags")[0])
+    apart = F.col("loop") if merge_free else F.lit(True)
+    groups = (
+        _by_row(values)
+        .withColumn("category", category)
+        .withColumn("gseg", F.when(apart, F.col("sseg")))
+        .withColumn("grow", F.when(apart, F.col("row")))
+        .groupBy(*_piece(values), "category", "loop", "gseg", "grow")
+        .agg(
+            F.array_sort(F.collect_list(F.struct(
+                *PLACE, "i", "vals", "sseg", F.when(~apart, _plain_tag(F.col("tags")[0])).alias("tag"),
+            ))).alias("bits"),
+            F.any_value(F.when(apart, F.col("tags"))).alias("header"),
+            F.bool_or(F.col("kind") != "val").alias("text"),
+        )
     )
-    bent = values.filter(~aligned)
-    plain = (
-        bent.filter("kind = 'val'")
-        .select(*_SEGMENT, "loop", "tags", "i", F.posexplode("vals").alias("k", "v"))
-        .select(*_SEGMENT, "loop", "tags", (F.col("i") + F.col("k")).alias("i"), "v")
+    flat = F.flatten(F.transform("bits", lambda b: F.transform(b.vals, lambda v, k: F.struct(
+        (b.i + k).alias("i"), b.sseg.alias("sseg"), v.alias("v"), b.tag.alias("tag")))))
+    width = F.size("header")
+    each = F.sequence(F.lit(0), width - 1)
+    by_place = F.transform(each, lambda j: _joined(F.filter("flat", lambda c: c.i % width == j)))
+
+    def latest(tag: Column) -> Column:
+        here = F.filter("flat", lambda c: c.tag == tag)
+        return _joined(F.filter(here, lambda c: c.sseg == F.element_at(here, -1)["sseg"]))
+
+    seen = F.transform("bits", lambda b: b.tag)
+    once = F.size(F.array_distinct(seen)) == F.size("bits")
+    plain = ~F.col("text") & F.when(F.col("header").isNull(), once).otherwise(True)
+    return groups.select(
+        "doc", "category", "loop",
+        F.lit(0).cast("long").alias("spart"), F.col("gseg").alias("sseg"), F.col("grow").alias("row"),
+        F.coalesce("header", F.array_distinct(seen)).alias("tags"),
+        "bits", "header", plain.alias("plain"), F.when(~plain, flat).alias("flat"),
+    ).select(
+        "doc", "category", "loop", "spart", "sseg", "row", "tags",
+        F.when(F.col("plain") & (F.size("bits") == 1), F.col("bits")[0]["vals"])
+        .when(F.col("plain"), F.flatten(F.transform("bits", lambda b: b.vals)))
+        .when(F.col("header").isNotNull(), by_place)
+        .otherwise(F.transform("tags", latest))
+        .alias("vals"),
     )
+
+
+def _gathered_over_parts(values: DataFrame) -> DataFrame:
+    """Rows of cut documents, shuffled by row; same columns as for uncut ones."""
+    width = F.size("tags")
+    pieces = _by_row(values)
+    aligned = (F.col("kind") == "val") & (F.size("vals") == width)
+    category = _category(F.col("tags")[0]).alias("category")
+    straight = pieces.filter(aligned).select("doc", category, "loop", "spart", "sseg", "row", "tags", "vals")
     # one group is one cell, so it is as large as one value
-    text = (
-        bent.filter("kind <> 'val'")
-        .groupBy(*_SEGMENT, "i")
+    bent = (
+        pieces.filter(~aligned)
+        .select("doc", "spart", "sseg", "loop", "tags", "row", "part", *PLACE, "i", F.posexplode("vals").alias("k", "v"))
+        .groupBy(*_SEGMENT, "row", (F.col("i") + F.col("k")).alias("i"))
         .agg(
             F.any_value("loop").alias("loop"),
             F.any_value("tags").alias("tags"),
-            F.array_sort(F.collect_list(F.struct("part", *PLACE, F.col("vals")[0].alias("v")))).alias("bits"),
+            F.array_sort(F.collect_list(F.struct("part", *PLACE, "v"))).alias("bits"),
         )
-        .select(
-            *_SEGMENT, "loop", "tags", "i",
-            F.array_join(F.transform("bits", lambda b: b.v), "\n").alias("v"),
-        )
-    )
-    # one group is one table row, so it is as wide as its loop header
-    joined = (
-        plain.unionByName(text)
-        .groupBy(*_SEGMENT, F.floor(F.col("i") / width).alias("row"))
+        .withColumn("v", _joined(F.col("bits")))
+        # one group is one table row, so it is as wide as its loop header
+        .groupBy(*_SEGMENT, "row")
         .agg(
             F.any_value("loop").alias("loop"),
             F.any_value("tags").alias("tags"),
-            F.array_sort(F.collect_list(F.struct((F.col("i") % width).alias("j"), "v"))).alias("cells"),
+            F.array_sort(F.collect_list(F.struct("i", "v"))).alias("cells"),
         )
-        .select(*_SEGMENT, "row", "loop", "tags", F.transform("cells", lambda c: c.v).alias("vals"))
+        .select("doc", category, "loop", "spart", "sseg", "row", "tags", F.transform("cells", lambda c: c.v).alias("vals"))
+    )
+    return straight.unionByName(bent)
+
+
+def _values(segs: DataFrame) -> DataFrame:
+    return segs.filter(F.col("kind").isin(*VALUE_KINDS) & (F.size("tags") > 0))
+
+
+def segment_rows(segs: DataFrame) -> DataFrame:
+    """``(doc, category, loop, spart, sseg, row, tags, vals)``, ``vals`` in tag order; free tags apart."""
+    values = _values(segs)
+    if not _is_cut(segs):
+        return _gathered(values, False)
+    return _gathered(values.filter("part = 0"), False).unionByName(
+        _gathered_over_parts(values.filter("part > 0"))
     )
-    return straight.unionByName(joined)
 
 
 def known_columns(tables=schema.LOADED) -> dict[str, tuple[str, ...]]:
@@ -384,22 +500,32 @@ def category_rows(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = No
     a repeated tag keeps its last value.
     """
     known = known or known_columns()
-    category = _category(F.col("tags")[0])
-    rows = segment_rows(segs.filter(category.isin(*known))).withColumn("category", category)
-    loops = rows.filter(
-        F.col("loop") & (F.size("tags") == F.size("vals")) & (F.size("tags") == F.size(F.array_distinct("tags")))
-    ).select("doc", "category", F.map_from_arrays(F.transform("tags", _column), "vals").alias("cols"))
-    free = rows.filter(~F.col("loop")).select(
-        "doc", "category", "spart", "sseg", _column(F.col("tags")[0]).alias("col"), F.col("vals")[0].alias("val")
-    )
+    values = _values(segs).filter(_category(F.col("tags")[0]).isin(*known))
+    columns = F.transform("tags", _column)
+    fits = (F.size("tags") == F.size("vals")) & (F.size("tags") == F.size(F.array_distinct(columns)))
+    shape = ["doc", "category", "tags", "vals"]
+    rows = _gathered(values.filter("part = 0") if _is_cut(segs) else values, True).select(*shape)
+    if _is_cut(segs):
+        for more in _large_rows(values.filter("part > 0"), known):
+            rows = rows.unionByName(more.select(*shape))
+    return rows.filter(fits).select("doc", "category", F.map_from_arrays(columns, "vals").alias("cols"))
+
+
+def _large_rows(values: DataFrame, known: dict) -> list[DataFrame]:
+    """Loop rows and merged free tags of cut documents."""
+    large = _gathered_over_parts(values)
+    # free tags of a cut document: the last value of each, combined before the shuffle
     merged = (
-        free.filter(_is_known(F.col("category"), F.col("col"), known))
-        .groupBy("doc", "category", "col")
-        .agg(F.max_by(F.struct("val"), F.struct("spart", "sseg")).alias("kept"))
+        large.filter(~F.col("loop"))
+        .select("doc", "category", F.struct("spart", "sseg").alias("at"), _plain_tag(F.col("tags")[0]).alias("tag"), F.col("vals")[0].alias("val"))
+        .filter(_is_known(F.col("category"), _column(F.col("tag")), known))
+        .groupBy("doc", "category", "tag")
+        .agg(F.max_by(F.struct("val"), "at")["val"].alias("val"))
         .groupBy("doc", "category")
-        .agg(F.map_from_entries(F.collect_list(F.struct("col", "kept.val"))).alias("cols"))
+        .agg(F.collect_list(F.struct("tag", "val")).alias("cells"))
+        .select("doc", "category", F.transform("cells", lambda c: c.tag).alias("tags"), F.transform("cells", lambda c: c.val).alias("vals"))
     )
-    return loops.unionByName(merged)
+    return [large.filter("loop"), merged]
 
 
 def table_text(rows: DataFrame, table: str, columns=None) -> DataFrame:
@@ -434,7 +560,7 @@ def document_problems(segs: DataFrame) -> DataFrame:
     values = F.sum("n")
     width = F.max(F.size("tags"))
     tag = F.when(F.col("kind") == "tag", F.col("vals")[0])
-    place = F.struct("part", *PLACE)
+    place = F.struct(*_piece(segs)[1:], *PLACE)
     per_segment = segs.groupBy(*_SEGMENT).agg(
         F.bool_or("loop").alias("loop"),
         width.alias("width"),
