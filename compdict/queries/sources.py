@@ -24,14 +24,15 @@ def quoted(c: Column) -> Column:
 
 
 def header(df: DataFrame, doc: Column, lines: list[Column]) -> DataFrame:
-    return df.select(doc.alias("doc"), F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
+    """Lines of the head of each document; the rows move to their document before they grow to text."""
+    return df.withColumn("doc", doc).repartition("doc").select("doc", F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
         "doc", F.col("line_no").cast("long").alias("line_no"), "line"
     )
 
 
 def body(df: DataFrame, doc: Column, cells: list[Column], hash_of: list[str]) -> DataFrame:
-    return df.select(
-        doc.alias("doc"),
+    return df.withColumn("doc", doc).repartition("doc").select(
+        "doc",
         (F.pmod(F.xxhash64(*hash_of), F.lit(_SPREAD)) + 1000).alias("line_no"),
         F.concat_ws(" ", *cells).alias("line"),
     )
@@ -61,7 +62,8 @@ def order_documents(r: Roles) -> DataFrame:
         *[F.lit(f"_chem_comp_atom.{c}") for c in _ATOM_COLUMNS],
     ])
     rows = body(atoms, text("c", F.col("comp_id")), [quoted(F.col(c)) for c in _ATOM_COLUMNS], list(_ATOM_COLUMNS))
-    return cif.in_parts(head.unionByName(rows))
+    counted = atoms.select(text("c", F.col("comp_id")).alias("doc"))
+    return cif.in_parts(head.unionByName(rows), counted=counted)
 
 
 def order_segments(r: Roles, lines: DataFrame | None = None) -> DataFrame:
@@ -80,10 +82,10 @@ SELECT id, (SELECT count(*) FROM atom WHERE comp_id = id) AS n_atoms FROM compon
 """)
 def cif_atom_counts(r: Roles) -> DataFrame:
     rows = cif.category_rows(order_segments(r), {"chem_comp": ("id",), "chem_comp_atom": ("comp_id",)})
-    counts = cif.table_text(rows, "chem_comp_atom", ["comp_id"]).groupBy("comp_id").agg(F.count(F.lit(1)).alias("n"))
-    return cif.table_text(rows, "chem_comp", ["id"]).join(counts, F.col("id") == F.col("comp_id"), "left").select(
-        "id", F.coalesce("n", F.lit(0)).alias("n_atoms")
-    )
+    is_atom = F.col("category") == "chem_comp_atom"
+    return rows.groupBy("doc").agg(
+        F.max(F.when(~is_atom, cif.value_of("chem_comp.id"))).alias("id"), F.count(F.when(is_atom, 1)).alias("n_atoms")
+    ).drop("doc")
 
 
 @query("cif_text_field", """

@@ -19,6 +19,9 @@ put together again.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -129,13 +132,14 @@ def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def in_parts(lines: DataFrame, max_lines: int = 2_000_000) -> DataFrame:
+def in_parts(lines: DataFrame, max_lines: int = 2_000_000, counted: DataFrame | None = None) -> DataFrame:
     """Cut documents above ``max_lines`` lines into parts.
 
     The document sizes are looked at first; when none is too large the lines stay as they are.
-    Line numbers may have gaps but should be spread evenly.
+    ``counted`` may name a cheaper frame with one ``doc`` per line to count.  Line numbers may
+    have gaps but should be spread evenly.
     """
-    too_large = lines.groupBy("doc").count().filter(F.col("count") > max_lines).drop("count")
+    too_large = (lines if counted is None else counted).groupBy("doc").count().filter(F.col("count") > max_lines).drop("count")
     if too_large.isEmpty():
         return lines
     sizes = (
@@ -216,19 +220,30 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
             return _unquote(t)
         return F.when(~t.isin(*clean.NULL_TOKENS), _unquote(t))
 
-    tokens = F.regexp_extract_all("body", F.lit(TOKEN), F.lit(0))
-    quoted = F.col("body").rlike(HAS_QUOTE)
+    # most lines hold no quote and no comment, so they are told apart without a pattern
+    raw = F.col("body")
+    marks = raw.contains("'") | raw.contains('"')
+    quoted = marks & raw.rlike(HAS_QUOTE)
+    words = F.array_remove(F.split(raw, " "), "")
+    other = [raw.contains(c) for c in ("#", "\t", "\x0b", "\f", "\r")]
+    tokens = F.when(reduce(or_, other, marks), F.regexp_extract_all(raw, F.lit(TOKEN), F.lit(0))).otherwise(words)
+    mixed = (raw.contains("_") | raw.contains("#")) & raw.rlike(NOT_ALL_VALUES)
     plain = F.transform("tokens", value) if not quoted_null else F.when(
         F.col("quoted"), F.transform("tokens", value)
     ).otherwise(F.col("tokens"))
-    single = F.transform(
-        F.filter("tokens", lambda t: ~t.startswith("#") & ~F.lower(t).startswith("save_")),
-        lambda t: F.struct(
-            _kind(t).alias("kind"), F.array(F.when(_kind(t) == "val", value(t)).otherwise(t)).alias("vals")
-        ),
-    )
+
+    def dropped(t: Column) -> Column:
+        return t.startswith("#") | F.lower(t).startswith("save_")
+
+    def unit(t: Column) -> Column:
+        return F.struct(_kind(t).alias("kind"), F.array(F.when(_kind(t) == "val", value(t)).otherwise(t)).alias("vals"))
+
+    first, second = F.get("tokens", F.lit(0)), F.get("tokens", F.lit(1))
+    single = F.transform(F.filter("tokens", lambda t: ~dropped(t)), unit)
     parsed = (
         F.when(F.col("text").isNotNull(), F.array("text"))
+        .when(F.col("mixed") & (F.size("tokens") == 1) & ~dropped(first), F.array(unit(first)))
+        .when(F.col("mixed") & (F.size("tokens") == 2) & ~dropped(first) & ~dropped(second), F.array(unit(first), unit(second)))
         .when(F.col("mixed"), single)
         .when(F.size("tokens") > 0, F.array(F.struct(F.lit("val").alias("kind"), plain.alias("vals"))))
     )
@@ -236,19 +251,28 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
         placed.select(*piece, "line_no", body.alias("body"), text.alias("text"))
         .select(
             *piece, "line_no", "text", tokens.alias("tokens"), quoted.alias("quoted"),
-            F.col("body").rlike(NOT_ALL_VALUES).alias("mixed"),
+            mixed.alias("mixed"),
         )
         .select(
             *piece, "line_no",
             F.when(F.col("quoted"), F.exists("tokens", _broken)).otherwise(False).alias("broken"),
-            F.posexplode(parsed).alias("u", "unit"),
+            parsed.alias("parsed"),
         )
+        # outer, as an inner one would be given a filter that works all of this out twice
+        .select(*piece, "line_no", "broken", F.posexplode_outer("parsed").alias("u", "unit"))
+        .filter("unit IS NOT NULL")
         .select(*piece, "line_no", "u", "unit.kind", "unit.vals", "broken")
     )
 
 
 # ---------------------------------------------------------------- segments
 
+def _tag(token: Column) -> Column:
+    """``category.column`` of a tag: leading underscores off, the column in lower case."""
+    bare = F.ltrim(token, F.lit("_"))
+    return F.concat_ws(".", F.substring_index(bare, ".", 1), F.lower(F.split_part(bare, F.lit("."), F.lit(2))))
+
+
 def _continued(pieces: DataFrame) -> DataFrame:
     """Where a segment goes on from an earlier part of a cut document.
 
@@ -262,7 +286,7 @@ def _continued(pieces: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("n"),
             F.array_sort(
-                F.collect_list(F.when(F.col("kind") == "tag", F.struct(*PLACE, F.col("vals")[0].alias("tag"))))
+                F.collect_list(F.when(F.col("kind") == "tag", F.struct(*PLACE, _tag(F.col("vals")[0]).alias("tag"))))
             ).alias("placed"),
             F.bool_or(F.col("kind") == "loop").alias("loop"),
             F.min_by("kind", F.struct(*PLACE)).alias("first"),
@@ -302,7 +326,8 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     """Give every unit its segment: one free tag with its value, or one loop.
 
     Adds ``spart, sseg`` (identity of the segment within the document), ``loop``,
-    ``tags`` and ``i``, the index of the unit's first value within the segment.
+    ``tags`` (as ``category.column``) and ``i``, the index of the unit's first value
+    within the segment.
     """
     piece = _piece(unit_rows)
     order = Window.partitionBy(*piece).orderBy(*PLACE)
@@ -320,7 +345,7 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     local = (
         pieces.withColumn("done_here", F.coalesce(
             F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", F.col("vals")[0])).over(whole))
+        .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", _tag(F.col("vals")[0]))).over(whole))
         .withColumn("own_loop", F.first("kind").over(whole) == "loop")
     )
     shape = [*piece, *PLACE, "kind", "vals", "n", "broken"]
@@ -350,15 +375,7 @@ _SEGMENT = ["doc", "spart", "sseg"]
 
 
 def _category(tag: Column) -> Column:
-    return F.regexp_extract(tag, r"^_*([^.]*)", 1)
-
-
-def _column(tag: Column) -> Column:
-    return F.coalesce(F.lower(F.split(tag, r"\.")[1]), F.lit(""))
-
-
-def _plain_tag(tag: Column) -> Column:
-    return F.concat(F.lit("_"), _category(tag), F.lit("."), _column(tag))
+    return F.substring_index(tag, ".", 1)
 
 
 def _by_row(values: DataFrame) -> DataFrame:
@@ -366,22 +383,18 @@ def _by_row(values: DataFrame) -> DataFrame:
 
     ``i`` counts from the start of the segment.  Nearly every unit lies within one row.
     """
-    width = F.size("tags")
-    first = F.floor(F.col("i") / width)
-    last = F.floor((F.col("i") + F.greatest("n", F.lit(1)) - 1) / width)
-
-    def piece(r: Column) -> Column:
-        low = F.greatest("i", r * width)
-        high = F.least((r + 1) * width, F.col("i") + F.col("n"))
-        return F.struct(
-            r.alias("row"), low.cast("long").alias("i"),
-            F.slice("vals", (low - F.col("i") + 1).cast("int"), (high - low).cast("int")).alias("vals"),
-        )
-
-    whole = F.array(F.struct(first.alias("row"), F.col("i").cast("long").alias("i"), F.col("vals").alias("vals")))
-    cuts = F.when(first == last, whole).otherwise(F.transform(F.sequence(first, last), piece))
-    others = [c for c in values.columns if c not in ("row", "i", "vals", "n", "broken")]
-    return values.select(*others, F.inline(cuts))
+    others = [c for c in values.columns if c not in ("i", "vals", "n", "broken")]
+    cut = values.withColumn("width", F.size("tags")).select(
+        "*", F.explode(F.sequence(F.expr("i div width"), F.expr("(i + greatest(n, 1) - 1) div width"))).alias("row")
+    )
+    low = F.greatest(F.col("i"), F.col("row") * F.col("width"))
+    high = F.least((F.col("row") + 1) * F.col("width"), F.col("i") + F.col("n"))
+    inside = (low == F.col("i")) & (F.size("vals") == high - low)
+    return cut.select(
+        *others, "row", low.alias("i"),
+        F.when(inside | (F.col("kind") != "val"), F.col("vals"))
+        .otherwise(F.slice("vals", (low - F.col("i") + 1).cast("int"), (high - low).cast("int"))).alias("vals"),
+    )
 
 
 def _joined(cells: Column) -> Column:
@@ -406,7 +419,7 @@ def _gathered(values: DataFrame, merge_free: bool) -> DataFrame:
         .groupBy(*_piece(values), "category", "loop", "gseg", "grow")
         .agg(
             F.array_sort(F.collect_list(F.struct(
-                *PLACE, "i", "vals", "sseg", F.when(~apart, _plain_tag(F.col("tags")[0])).alias("tag"),
+                *PLACE, "i", "vals", "sseg", F.when(~apart, F.col("tags")[0]).alias("tag"),
             ))).alias("bits"),
             F.any_value(F.when(apart, F.col("tags"))).alias("header"),
             F.bool_or(F.col("kind") != "val").alias("text"),
@@ -488,27 +501,24 @@ def known_columns(tables=schema.LOADED) -> dict[str, tuple[str, ...]]:
     return {t: tuple(schema.CIF[t].names) for t in tables}
 
 
-def _is_known(category: Column, column: Column, known: dict) -> Column:
-    pairs = [F.lit(f"{t}.{c}") for t, cols in known.items() for c in cols]
-    return F.array_contains(F.array(*pairs), F.concat(category, F.lit("."), column))
+def _is_known(tag: Column, known: dict) -> Column:
+    return tag.isin(*[f"{t}.{c}" for t, cols in known.items() for c in cols])
 
 
 def category_rows(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """``(doc, category, cols)``: one row per table row, ``cols`` maps column to text.
+    """``(doc, category, tags, vals)``: one row per table row, as two arrays side by side.
 
     Unknown categories are dropped.  Free tags of one category make one row in which
     a repeated tag keeps its last value.
     """
     known = known or known_columns()
     values = _values(segs).filter(_category(F.col("tags")[0]).isin(*known))
-    columns = F.transform("tags", _column)
-    fits = (F.size("tags") == F.size("vals")) & (F.size("tags") == F.size(F.array_distinct(columns)))
     shape = ["doc", "category", "tags", "vals"]
     rows = _gathered(values.filter("part = 0") if _is_cut(segs) else values, True).select(*shape)
     if _is_cut(segs):
         for more in _large_rows(values.filter("part > 0"), known):
             rows = rows.unionByName(more.select(*shape))
-    return rows.filter(fits).select("doc", "category", F.map_from_arrays(columns, "vals").alias("cols"))
+    return rows
 
 
 def _large_rows(values: DataFrame, known: dict) -> list[DataFrame]:
@@ -517,8 +527,8 @@ def _large_rows(values: DataFrame, known: dict) -> list[DataFrame]:
     # free tags of a cut document: the last value of each, combined before the shuffle
     merged = (
         large.filter(~F.col("loop"))
-        .select("doc", "category", F.struct("spart", "sseg").alias("at"), _plain_tag(F.col("tags")[0]).alias("tag"), F.col("vals")[0].alias("val"))
-        .filter(_is_known(F.col("category"), _column(F.col("tag")), known))
+        .select("doc", "category", F.struct("spart", "sseg").alias("at"), F.col("tags")[0].alias("tag"), F.col("vals")[0].alias("val"))
+        .filter(_is_known(F.col("tag"), known))
         .groupBy("doc", "category", "tag")
         .agg(F.max_by(F.struct("val"), "at")["val"].alias("val"))
         .groupBy("doc", "category")
@@ -528,6 +538,11 @@ def _large_rows(values: DataFrame, known: dict) -> list[DataFrame]:
     return [large.filter("loop"), merged]
 
 
+def value_of(tag: str) -> Column:
+    """The value a row of ``category_rows`` has for ``category.column``, NULL when it has none."""
+    return F.get("vals", F.array_position("tags", tag).cast("int") - 1)
+
+
 def table_text(rows: DataFrame, table: str, columns=None) -> DataFrame:
     """``(doc, columns...)`` of one category as text; columns a document lacks are NULL.
 
@@ -537,7 +552,7 @@ def table_text(rows: DataFrame, table: str, columns=None) -> DataFrame:
     ids = {"comp_id"} | ({"id"} if table == "chem_comp" else set())
     out = []
     for c in columns:
-        v = clean.null_token(F.col("cols")[c])
+        v = clean.null_token(value_of(f"{table}.{c}"))
         out.append((F.upper(v) if c in ids else v).alias(c))
     return rows.filter(F.col("category") == table).select("doc", *out)
 
@@ -557,23 +572,22 @@ def cells(segs: DataFrame, tags=None) -> DataFrame:
 
 def document_problems(segs: DataFrame) -> DataFrame:
     """``(doc, block, has_atoms, reasons)``: one row per document with its parse errors."""
-    values = F.sum("n")
-    width = F.max(F.size("tags"))
-    tag = F.when(F.col("kind") == "tag", F.col("vals")[0])
+    is_tag, is_data = F.col("kind") == "tag", F.col("kind") == "data"
     place = F.struct(*_piece(segs)[1:], *PLACE)
+    opening = F.col("loop") & (F.col("i") == 0) & (F.col("n") > 0)
+    headers = F.size("tags")
     per_segment = segs.groupBy(*_SEGMENT).agg(
         F.bool_or("loop").alias("loop"),
-        width.alias("width"),
-        values.alias("n"),
-        F.max(F.size(F.array_distinct("tags"))).alias("distinct"),
-        F.min(_category(tag)).alias("low"),
-        F.max(_category(tag)).alias("high"),
-        F.bool_or(~tag.contains(".")).alias("dotless"),
+        F.max(headers).alias("width"),
+        F.sum("n").alias("n"),
+        F.bool_or(opening & (F.size(F.array_distinct("tags")) < headers)).alias("repeated"),
+        F.bool_or(opening & (F.size(F.array_distinct(F.transform("tags", _category))) > 1)).alias("mixed"),
+        F.bool_or(is_tag & _tag(F.col("vals")[0]).startswith("chem_comp_atom.")).alias("atoms"),
+        F.bool_or(is_tag & ~F.col("vals")[0].contains(".")).alias("dotless"),
         F.bool_or("broken").alias("broken"),
         F.bool_or(F.col("kind") == "reserved").alias("reserved"),
-        F.count(F.when(F.col("kind") == "data", 1)).alias("blocks"),
-        F.min(F.when(F.col("kind") == "data", F.upper(F.col("vals")[0]))).alias("block"),
-        F.min_by("kind", place).alias("first"),
+        F.count(F.when(is_data, 1)).alias("blocks"),
+        F.min(F.when(is_data, F.struct(place.alias("place"), F.upper(F.col("vals")[0]).alias("name")))).alias("block"),
         F.min(place).alias("place"),
     )
     ragged = (
@@ -586,18 +600,18 @@ def document_problems(segs: DataFrame) -> DataFrame:
         return F.when(F.coalesce(cond, F.lit(False)), name)
 
     return per_segment.groupBy("doc").agg(
-        F.substring(F.min_by("block", F.when(F.col("blocks") > 0, F.col("place"))), 6, 1 << 30).alias("block"),
-        F.bool_or(F.coalesce(F.col("high") == "chem_comp_atom", F.lit(False)) & (F.col("n") > 0)).alias("has_atoms"),
+        F.substring(F.min("block")["name"], 6, 1 << 30).alias("block"),
+        F.bool_or(F.col("atoms") & (F.col("n") > 0)).alias("has_atoms"),
         F.array_compact(F.array(
             reason(F.bool_or(ragged), "ragged"),
             reason(F.bool_or("broken"), "unclosed quote"),
             reason(F.bool_or("reserved"), "reserved word"),
             reason(F.bool_or("dotless"), "tag without category"),
-            reason(F.bool_or(F.col("low") != F.col("high")), "mixed loop"),
-            reason(F.bool_or(F.col("width") > F.col("distinct")), "repeated loop tag"),
+            reason(F.bool_or("mixed"), "mixed loop"),
+            reason(F.bool_or("repeated"), "repeated loop tag"),
             reason(F.sum("blocks") == 0, "no data block"),
             reason(F.sum("blocks") > 1, "second data block"),
-            reason(F.min_by("first", "place") != "data", "text before data block"),
+            reason(F.min("place") < F.min("block")["place"], "text before data block"),
         )).alias("reasons"),
     )
 
@@ -620,11 +634,11 @@ def rejects(lines: DataFrame, segs: DataFrame) -> DataFrame:
 def unknown_columns(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """``(doc, category, column)`` of columns a known category does not have."""
     known = known or known_columns()
-    tag = F.col("vals")[0]
     return (
         segs.filter("kind = 'tag'")
-        .select("doc", _category(tag).alias("category"), _column(tag).alias("column"))
-        .filter(F.col("category").isin(*known) & ~_is_known(F.col("category"), F.col("column"), known))
+        .select("doc", _tag(F.col("vals")[0]).alias("tag"))
+        .filter(_category(F.col("tag")).isin(*known) & ~_is_known(F.col("tag"), known))
+        .select("doc", _category(F.col("tag")).alias("category"), F.split_part("tag", F.lit("."), F.lit(2)).alias("column"))
         .distinct()
     )
 
@@ -639,11 +653,11 @@ def key_mismatch(rows: DataFrame, doc_id: Column) -> DataFrame:
 
 # --- fixed values: the tags a header is made of -----------------------------
 HEADER = {
-    "initial": "_chem_comp.pdbx_initial_date",
-    "modified": "_chem_comp.pdbx_modified_date",
-    "replaced_by": "_chem_comp.pdbx_replaced_by",
-    "release_status": "_chem_comp.pdbx_release_status",
-    "subcomponents": "_chem_comp.pdbx_subcomponent_list",
+    "initial": "chem_comp.pdbx_initial_date",
+    "modified": "chem_comp.pdbx_modified_date",
+    "replaced_by": "chem_comp.pdbx_replaced_by",
+    "release_status": "chem_comp.pdbx_release_status",
+    "subcomponents": "chem_comp.pdbx_subcomponent_list",
 }
 
 
