@@ -35,17 +35,15 @@ def status(error: Column, compound: Column, obsolete: Column) -> Column:
     return F.when(error, "failed").when(compound, "compound").when(obsolete, "obsolete").otherwise("current")
 
 
-def header(text: DataFrame, problems: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+def header(facts: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """``(doc, block, created, modified, obsolete, compound, error)`` per document.
 
-    ``text`` holds the raw header values, ``problems`` one row per document with its
-    parse errors, ``failed`` further documents that must count as errors.
+    ``facts`` has a row per document with its raw header values and parse errors;
+    ``failed`` names further documents that count as errors.
     """
-    out = problems.join(text, "doc", "left")
+    out = facts.withColumn("bad", F.lit(False))
     if failed is not None:
-        out = out.join(failed.select("doc", F.lit(True).alias("bad")).distinct(), "doc", "left")
-    else:
-        out = out.withColumn("bad", F.lit(False))
+        out = facts.join(failed.select("doc", F.lit(True).alias("bad")).distinct(), "doc", "left")
     out = out.withColumn("created", clean.parse_date("initial")).withColumn("modified", clean.parse_date("modified"))
     return out.select(
         "doc", "block", "created", "modified",

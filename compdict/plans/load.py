@@ -35,26 +35,19 @@ def probe(spark: SparkSession, directory: str, known=None) -> tuple[DataFrame, D
     lines = cif.scan_lines(spark, directory)
     segs = cif.segments(cif.units(lines))
     files = cif.scan_files(spark, directory)
-    problems = cut(cif.document_problems(segs))
+    facts = cut(cif.document_facts(segs, known or cif.known_columns()))
     extra = cut(
-        cif.unclosed_text(lines).withColumn("reason", F.lit("unclosed text field"))
-        .unionByName(
-            cif.unknown_columns(segs, known)
-            .select("doc", F.concat_ws(".", F.lit("unknown column "), "category", "column").alias("reason"))
-        )
-        .unionByName(
-            files.join(problems, "doc", "left_anti").select("doc", F.lit("empty file").alias("reason"))
+        cif.unclosed_text(lines).withColumn("reason", F.lit("unclosed text field")).unionByName(
+            files.join(facts, "doc", "left_anti").select("doc", F.lit("empty file").alias("reason"))
         )
     )
-    parse_errors = extra.filter(~F.col("reason").startswith("unknown column"))
-    head = status.header(cif.header_text(segs), problems, parse_errors)
-    headers = files.join(head, "doc", "left").select(
+    headers = files.select("doc", "id").join(status.header(facts, extra), "doc", "left").select(
         "doc", "id", "block", "created", "modified",
         *[F.coalesce(c, F.lit(False)).alias(c) for c in ("obsolete", "compound")],
         F.coalesce("error", F.lit(True)).alias("error"),
     )
     headers = headers.withColumn("status", status.status(F.col("error"), F.col("compound"), F.col("obsolete")))
-    return headers, problems.select("doc", F.explode("reasons").alias("reason")).unionByName(extra)
+    return headers, facts.select("doc", F.explode("reasons").alias("reason")).unionByName(extra)
 
 
 def load_directory(

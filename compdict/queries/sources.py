@@ -230,7 +230,7 @@ SELECT 'c' || CAST(o_orderkey AS STRING) AS doc, CAST(o_orderkey AS STRING) AS b
 FROM orders WHERE o_orderkey % 10 = 4
 """)
 def cif_block_rejects(r: Roles) -> DataFrame:
-    problems = cif.document_problems(order_segments(r, faulty_documents(r)))
+    problems = cif.document_facts(order_segments(r, faulty_documents(r)))
     return problems.filter(F.array_contains("reasons", "second data block")).select("doc", "block")
 
 
@@ -287,4 +287,4 @@ def header_probe(r: Roles) -> DataFrame:
         text("_chem_comp.pdbx_subcomponent_list ", quoted(F.col("pdbx_subcomponent_list"))),
     ])
     segs = order_segments(r, lines)
-    return status.header(cif.header_text(segs), cif.document_problems(segs))
+    return status.header(cif.document_facts(segs))

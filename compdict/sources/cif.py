@@ -568,14 +568,63 @@ def cells(segs: DataFrame, tags=None) -> DataFrame:
     return out if tags is None else out.filter(F.col("tag").isin(*tags))
 
 
-# ----------------------------------------------------------------- rejects
+# ----------------------------------------------------- document facts, rejects
 
-def document_problems(segs: DataFrame) -> DataFrame:
-    """``(doc, block, has_atoms, reasons)``: one row per document with its parse errors."""
+# --- fixed values: the tags a header is made of -----------------------------
+HEADER = {
+    "initial": "chem_comp.pdbx_initial_date",
+    "modified": "chem_comp.pdbx_modified_date",
+    "replaced_by": "chem_comp.pdbx_replaced_by",
+    "release_status": "chem_comp.pdbx_release_status",
+    "subcomponents": "chem_comp.pdbx_subcomponent_list",
+}
+WITHDRAWN = ("OBS", "WDRN")
+
+
+def _in_loop(tag: str) -> Column:
+    """The last value a unit of a loop has for a tag."""
+    width, size = F.size("tags"), F.size("vals")
+    ahead = (F.array_position("tags", tag) - 1 - F.col("i") % width + width) % width
+    at = ahead + F.floor((size - 1 - ahead) / width) * width
+    return F.when(ahead < size, F.get("vals", at.cast("int")))
+
+
+def _is_withdrawn(value: Column) -> Column:
+    return F.coalesce(F.upper(value).isin(*WITHDRAWN), F.lit(False))
+
+
+def document_facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One row per document, from one pass over its segments.
+
+    ``(doc, block, has_atoms, initial, modified, replaced_by, release_status,
+    subcomponents, reasons)``; the header values are raw text, ``reasons`` lists the
+    parse errors.  With ``known`` a column unknown to its category is an error too.
+    A repeated date keeps the last value; the other three count once they were set,
+    so a later null does not undo them.  Every aggregate is combined before a shuffle
+    and has a state of fixed size, but for the lines of one value.
+    """
     is_tag, is_data = F.col("kind") == "tag", F.col("kind") == "data"
     place = F.struct(*_piece(segs)[1:], *PLACE)
     opening = F.col("loop") & (F.col("i") == 0) & (F.col("n") > 0)
     headers = F.size("tags")
+    is_value = F.col("kind").isin(*VALUE_KINDS)
+    first = F.get("tags", F.lit(0))
+    wanted = first.isin(*HEADER.values())
+    free = ~F.col("loop") & is_value & wanted
+    looped = F.col("loop") & is_value & first.startswith("chem_comp.")
+    extra = [
+        F.max(F.when(~F.col("loop") & wanted, first)).alias("tag"),
+        F.array_sort(F.collect_list(F.when(free, F.struct(place.alias("place"), F.col("vals")[0].alias("v"))))).alias("bits"),
+        *[
+            F.max(F.when(looped & F.array_contains("tags", t), F.struct(place.alias("p"), _in_loop(t).alias("v")))).alias(f"in_{n}")
+            for n, t in HEADER.items()
+        ],
+    ]
+    if known is not None:
+        name = _tag(F.col("vals")[0])
+        extra.append(F.min(F.when(
+            is_tag & _category(name).isin(*known) & ~_is_known(name, known), name
+        )).alias("unknown"))
     per_segment = segs.groupBy(*_SEGMENT).agg(
         F.bool_or("loop").alias("loop"),
         F.max(headers).alias("width"),
@@ -589,6 +638,7 @@ def document_problems(segs: DataFrame) -> DataFrame:
         F.count(F.when(is_data, 1)).alias("blocks"),
         F.min(F.when(is_data, F.struct(place.alias("place"), F.upper(F.col("vals")[0]).alias("name")))).alias("block"),
         F.min(place).alias("place"),
+        *extra,
     )
     ragged = (
         F.when(F.col("blocks") > 0, F.col("n") > 0)
@@ -596,12 +646,28 @@ def document_problems(segs: DataFrame) -> DataFrame:
         .otherwise((F.col("width") != 1) | (F.col("n") != 1))
     )
 
+    def header(name: str) -> Column:
+        own = F.when(F.col("tag") == HEADER[name], F.struct(_joined(F.col("bits")).alias("v")))
+        return F.coalesce(F.when(F.col(f"in_{name}").isNotNull(), F.struct(F.col(f"in_{name}.v").alias("v"))), own)
+
+    def last(name: str) -> Column:
+        at = F.when(header(name).isNotNull(), F.col("place"))
+        return F.max_by(F.struct(clean.blank_to_null(header(name)["v"]).alias("v")), at)["v"].alias(name)
+
+    def ever(name: str, mark=None) -> Column:
+        value = clean.blank_to_null(header(name)["v"])
+        if mark is None:
+            return F.max(value).alias(name)
+        return F.max(F.struct(mark(value).alias("m"), value.alias("v")))["v"].alias(name)
+
     def reason(cond: Column, name: str) -> Column:
         return F.when(F.coalesce(cond, F.lit(False)), name)
 
     return per_segment.groupBy("doc").agg(
         F.substring(F.min("block")["name"], 6, 1 << 30).alias("block"),
         F.bool_or(F.col("atoms") & (F.col("n") > 0)).alias("has_atoms"),
+        last("initial"), last("modified"),
+        ever("replaced_by"), ever("release_status", _is_withdrawn), ever("subcomponents"),
         F.array_compact(F.array(
             reason(F.bool_or(ragged), "ragged"),
             reason(F.bool_or("broken"), "unclosed quote"),
@@ -612,6 +678,7 @@ def document_problems(segs: DataFrame) -> DataFrame:
             reason(F.sum("blocks") == 0, "no data block"),
             reason(F.sum("blocks") > 1, "second data block"),
             reason(F.min("place") < F.min("block")["place"], "text before data block"),
+            *([] if known is None else [F.concat(F.lit("unknown column "), F.min("unknown"))]),
         )).alias("reasons"),
     )
 
@@ -625,7 +692,7 @@ def unclosed_text(lines: DataFrame) -> DataFrame:
 def rejects(lines: DataFrame, segs: DataFrame) -> DataFrame:
     """``(doc, reason)`` of every document that does not parse."""
     return (
-        document_problems(segs)
+        document_facts(segs)
         .select("doc", F.explode("reasons").alias("reason"))
         .unionByName(unclosed_text(lines).withColumn("reason", F.lit("unclosed text field")))
     )
@@ -647,38 +714,3 @@ def key_mismatch(rows: DataFrame, doc_id: Column) -> DataFrame:
     """``(doc, expected, id)`` where the file stem is not the component ID in the text."""
     found = table_text(rows, "chem_comp", ["id"])
     return found.select("doc", doc_id.alias("expected"), "id").filter(~F.col("expected").eqNullSafe(F.col("id")))
-
-
-# ------------------------------------------------------------------ header
-
-# --- fixed values: the tags a header is made of -----------------------------
-HEADER = {
-    "initial": "chem_comp.pdbx_initial_date",
-    "modified": "chem_comp.pdbx_modified_date",
-    "replaced_by": "chem_comp.pdbx_replaced_by",
-    "release_status": "chem_comp.pdbx_release_status",
-    "subcomponents": "chem_comp.pdbx_subcomponent_list",
-}
-
-
-def header_text(segs: DataFrame) -> DataFrame:
-    """``(doc, initial, modified, replaced_by, release_status, subcomponents)`` as raw text.
-
-    A repeated date keeps the last value; the other three count once they were
-    set, so a later null does not undo them.
-    """
-    found = cells(segs, list(HEADER.values())).withColumn("val", clean.blank_to_null("val"))
-    raw = found.withColumn("pos", F.struct("spart", "sseg", "row"))
-
-    def last(name: str) -> Column:
-        return F.max_by(F.struct("val"), F.when(F.col("tag") == HEADER[name], F.col("pos")))["val"].alias(name)
-
-    def seen(name: str, value: Column = F.col("val")) -> Column:
-        return F.max(F.when(F.col("tag") == HEADER[name], value)).alias(name)
-
-    withdrawn = F.when(F.upper("val").isin("OBS", "WDRN"), F.concat(F.lit("~"), F.col("val"))).otherwise(F.col("val"))
-    return raw.groupBy("doc").agg(
-        last("initial"), last("modified"), seen("replaced_by"),
-        F.ltrim(seen("release_status", withdrawn), F.lit("~")).alias("release_status"),
-        seen("subcomponents"),
-    )
