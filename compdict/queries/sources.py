@@ -23,15 +23,24 @@ def quoted(c: Column) -> Column:
     return F.when(c.isNull(), "?").when(plain, c).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 
+def by_document(df: DataFrame, doc: Column) -> DataFrame:
+    """Bring the rows of a document together before they grow to text.
+
+    The number of partitions is given, as the rows are small here and would be packed
+    into few tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("doc", doc).repartition(n, "doc")
+
+
 def header(df: DataFrame, doc: Column, lines: list[Column]) -> DataFrame:
-    """Lines of the head of each document; the rows move to their document before they grow to text."""
-    return df.withColumn("doc", doc).repartition("doc").select("doc", F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
+    return by_document(df, doc).select("doc", F.posexplode(F.array(*lines)).alias("line_no", "line")).select(
         "doc", F.col("line_no").cast("long").alias("line_no"), "line"
     )
 
 
 def body(df: DataFrame, doc: Column, cells: list[Column], hash_of: list[str]) -> DataFrame:
-    return df.withColumn("doc", doc).repartition("doc").select(
+    return by_document(df, doc).select(
         "doc",
         (F.pmod(F.xxhash64(*hash_of), F.lit(_SPREAD)) + 1000).alias("line_no"),
         F.concat_ws(" ", *cells).alias("line"),

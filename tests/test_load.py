@@ -4,12 +4,12 @@ import datetime
 
 import pytest
 
-from compdict import schema
 from compdict.operators import merge
 from compdict.plans import load
 from compdict.sources import snapshot
 
 D = datetime.date
+TABLES = ("chem_comp", "chem_comp_atom", "chem_comp_bond")
 
 
 def component(name, modified="2011-06-04", extra="", atoms=("N", "H1"), initial="1999-07-08"):
@@ -41,7 +41,7 @@ def atoms(loaded):
 def settle(spark, loaded, root):
     """Write the result as the next version and read it back."""
     snapshot.write_snapshot(spark, root, loaded.tables)
-    return snapshot.read_snapshot(spark, root, schema.LOADED)
+    return snapshot.read_snapshot(spark, root, TABLES)
 
 
 def stats(loaded):
@@ -62,7 +62,7 @@ def test_life_of_a_dictionary(spark, tmp_path):
         "i/III.cif": "# nothing yet\n",
         "x/FULL/ZZZ.cif": component("ZZZ"),
     })
-    first = load.load_directory(spark, str(folder))
+    first = load.load_directory(spark, str(folder), tables=TABLES)
     assert atoms(first) == [("AAA", "H1", 2), ("AAA", "N", 1)]
     parents = rows(first.tables["chem_comp"].select("id", "name", "pdbx_initial_date", "pdbx_modified_date"))
     assert parents == [
@@ -78,7 +78,7 @@ def test_life_of_a_dictionary(spark, tmp_path):
     }
 
     stored = settle(spark, first, root)
-    again = load.load_directory(spark, str(folder), stored)
+    again = load.load_directory(spark, str(folder), stored, TABLES)
     assert {t: rows(df) for t, df in again.tables.items()} == {t: rows(df) for t, df in stored.items()}
     assert stats(again)["unchanged"] == 2 and stats(again)["new"] == 0
 
@@ -88,7 +88,7 @@ def test_life_of_a_dictionary(spark, tmp_path):
         "b/bbb.cif": component("BBB", modified="2012-01-01", extra="_chem_comp.number_atoms_all many"),
         "f/FFF.cif": component("FFF"),
     })
-    second = load.load_directory(spark, str(folder), stored)
+    second = load.load_directory(spark, str(folder), stored, TABLES)
     assert atoms(second) == [
         ("AAA", "C", 2), ("AAA", "N", 1), ("AAA", "O", 3), ("FFF", "H1", 2), ("FFF", "N", 1),
     ]
@@ -101,14 +101,14 @@ def test_life_of_a_dictionary(spark, tmp_path):
 
     stored = settle(spark, second, root)
     write(folder, {"a/AAA.cif": component("AAA", extra="_chem_comp.pdbx_release_status OBS")})
-    third = load.load_directory(spark, str(folder), stored)
+    third = load.load_directory(spark, str(folder), stored, TABLES)
     assert rows(third.gone) == [("AAA",)]
     assert [r[0] for r in atoms(third)] == ["FFF", "FFF"]
     assert stats(third)["gone"] == 1
 
     (tmp_path / "none").mkdir()
     with pytest.raises(merge.TooManyGone):
-        load.load_directory(spark, str(tmp_path / "none"), stored)
+        load.load_directory(spark, str(tmp_path / "none"), stored, TABLES)
     assert snapshot.current_version(spark, root) == 2
     assert rows(snapshot.read_snapshot(spark, root, ["chem_comp_atom"], 1)["chem_comp_atom"].select("comp_id")) == [
         ("AAA",), ("AAA",)
