@@ -97,6 +97,14 @@ def cif_atom_counts(r: Roles) -> DataFrame:
     ).drop("doc")
 
 
+@query("cif_cells", """
+SELECT 'c' || id AS doc, 'chem_comp.name' AS tag, coalesce(name, '?') AS val FROM component
+UNION ALL SELECT 'c' || comp_id, 'chem_comp_atom.atom_id', atom_id FROM atom
+""")
+def cif_cells(r: Roles) -> DataFrame:
+    return cif.cells(order_segments(r), ["chem_comp.name", "chem_comp_atom.atom_id"]).select("doc", "tag", "val")
+
+
 @query("cif_text_field", """
 SELECT 'V' || CAST(conv_id AS STRING) AS comp_id, CAST(turn AS INT) AS ordinal, role AS type,
   ' ' || replace(text, chr(10), chr(10) || ' ') AS identifier
