@@ -29,13 +29,17 @@ from compdict.llm.common import components, ship, slices
 SHINGLE = 5
 # Frequency table: 2 ** BITS buckets of one byte, in SLICES parts.
 BITS, SLICES = 23, 64
+# Parity bits of a set, in longs: two sets differ in at least as many tokens as their bits do.
+PARITY = 16
 # Marks of records: 2 ** MARK_BITS bits.
 MARK_BITS = 24
-# Minimum hashes a set, and from how many sets of one minimum a leader is worth a check.
-MINIMA, CROWD = 3, 16
+# Minimum hashes a set, and from how many sets of one minimum leaders are worth a check.
+MINIMA, CROWD = 3, 4
 # Lists up to this length are paired at once; longer ones learn of components first.
-SHORT_LIST = 64
-BLOCK = 1024
+SHORT_LIST = 8
+# Leaders of one minimum.
+LEADERS = 4
+BLOCK = 512
 WORD_CACHE = 1_000_000
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], _U)
@@ -79,42 +83,49 @@ def record_of(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _mark(rec: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return (mixed(rec.astype(np.int64).view(_U) * _U(3) + ids.astype(np.int64).view(_U)) >> _U(64 - MARK_BITS)).astype(np.int64)
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Every token turns one of 64 * PARITY bits."""
+    odd = np.bincount((tokens >> _U(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _mark(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(_U) * _U(3)) >> _U(64 - MARK_BITS)).astype(np.int64)
 
 
 def _facts(docs: DataFrame) -> DataFrame:
-    """Per document ``id, n, rec, minima``; and per task its shingle counts in slices."""
+    """Per document ``id, n, rec, minima, bits``; and per task its shingle counts in slices."""
 
     def run(batches):
         counts = np.zeros(1 << BITS, np.uint8)
         task = TaskContext.get().partitionId()
         for batch in slices(batches):
-            n, rec, low = [], [], []
+            n, rec, low, bits = [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingle_set(text)
                 n.append(len(h))
                 rec.append(record_of(h) if len(h) else None)
                 low.append([int(mixed(h * _FACTORS[k]).min()) - (1 << 63) for k in range(MINIMA)] if len(h) else [])
+                bits.append(parity(h))
                 at = (h & _U((1 << BITS) - 1)).astype(np.int64)
                 # a set has few tokens in one bucket; 255 stands for any larger count of a task
                 np.add.at(counts, at[counts[at] < 250], 1)
             size = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(rec, pa.int64()), pa.array(low, pa.list_(pa.int64())),
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(rec, pa.int64()), pa.array(low, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
                  pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())],
-                names=["id", "n", "rec", "minima", "slice", "task", "blob"],
+                names=["id", "n", "rec", "minima", "bits", "slice", "task", "blob"],
             )
         parts = [(i, c) for i, c in enumerate(counts.reshape(SLICES, -1)) if c.any()]
         size = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.list_(pa.int64())),
+            [pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.list_(pa.int64())), pa.nulls(size, pa.list_(pa.int64())),
              pa.array([p[0] for p in parts], pa.int32()), pa.array([task] * size, pa.int32()),
              pa.array([zlib.compress(p[1].tobytes(), 1) for p in parts], pa.binary())],
-            names=["id", "n", "rec", "minima", "slice", "task", "blob"],
+            names=["id", "n", "rec", "minima", "bits", "slice", "task", "blob"],
         )
 
-    return docs.mapInArrow(run, "id bigint, n bigint, rec bigint, minima array<bigint>, slice int, task int, blob binary")
+    return docs.mapInArrow(run, "id bigint, n bigint, rec bigint, minima array<bigint>, bits array<bigint>, slice int, task int, blob binary")
 
 
 def _levels(facts: DataFrame) -> np.ndarray:
@@ -144,15 +155,15 @@ def _logs(batches):
 
 
 def _marked(reps: DataFrame) -> np.ndarray:
-    """Bits of ``(rec, rep)``: 2 ** MARK_BITS bits reach the driver, however many records there are."""
+    """Bits of the representatives' IDs: 2 ** MARK_BITS bits reach the driver, however many there are."""
 
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_mark(b.column(0).to_numpy(), b.column(1).to_numpy()) + 1, pa.int64())], names=["mark"]
+                [pa.array(_mark(b.column(0).to_numpy()) + 1, pa.int64())], names=["mark"]
             )
 
-    marks = reps.select("rec", F.coalesce("rep", F.lit(-1)).alias("rep")).mapInArrow(run, "mark bigint")
+    marks = reps.select(F.coalesce("rep", F.lit(-1)).alias("rep")).mapInArrow(run, "mark bigint")
     out = np.zeros((1 << MARK_BITS) // 8, np.uint8)
     rows = marks.groupBy(F.call_function("bitmap_bucket_number", F.col("mark")).alias("b")).agg(
         F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", F.col("mark"))).alias("bits")
@@ -164,22 +175,24 @@ def _marked(reps: DataFrame) -> np.ndarray:
     return out
 
 
-def _is_marked(bits: np.ndarray, rec: int, doc_id) -> bool:
-    m = int(_mark(np.array([rec]), np.array([-1 if doc_id is None else doc_id]))[0])
-    return bool(bits[m >> 3] >> (m & 7) & 1)
+def _texts(batch: pa.RecordBatch, bits: np.ndarray) -> list[str]:
+    """Texts of the rows whose ID is marked; the others are not looked at."""
+    marks = _mark(batch.column(0).fill_null(-1).to_numpy())
+    hit = (bits[marks >> 3] >> (marks & 7).astype(np.uint8)) & 1
+    return batch.column(1).filter(pa.array(hit.astype(bool))).to_pylist()
 
 
 def _sets(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``(rec, tokens)`` of the marked records."""
+    """``(rec, tokens)`` of the marked records, and of a few others whose mark is the same."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         for batch in slices(batches):
             recs, sets = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in _texts(batch, sent.value):
                 h = shingle_set(text)
-                if len(h) and _is_marked(sent.value, rec := record_of(h), doc_id):
-                    recs.append(rec)
+                if len(h):
+                    recs.append(record_of(h))
                     sets.append(h.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(recs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rec", "tokens"])
 
@@ -187,8 +200,18 @@ def _sets(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, recs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of records that link, by their whole sets."""
-    pairs = cut(pairs)
+    """The pairs ``(a, b)`` of records that link, by their whole sets.
+
+    Linked sets differ in at most a seventh of their sizes' sum; pairs whose parity bits
+    already differ in more leave before sets are fetched.
+    """
+    own = recs.select("rec", "n", "bits")
+    differ = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, c: t + c)
+    pairs = cut(
+        pairs.join(own.select(F.col("rec").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
+        .join(own.select(F.col("rec").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb")), "b")
+        .filter(7 * differ <= F.col("na") + F.col("nb")).select("a", "b")
+    )
     used = pairs.select(F.explode(F.array("a", "b")).alias("rec")).distinct()
     needed = recs.join(used, "rec", "left_semi").select("rec", "rep")
     sets = _sets(docs, _marked(needed)).dropDuplicates(["rec"])
@@ -208,10 +231,11 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, reps: np.ndarray) -> DataFram
         level, bits = sent.value
         for batch in slices(batches):
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in _texts(batch, bits):
                 h = shingle_set(text)
                 n = len(h)
-                if n and _is_marked(bits, rec := record_of(h), doc_id):
+                if n:
+                    rec = record_of(h)
                     p = n - -(-3 * n // 4) + 1
                     order = np.argsort(level[(h & _U((1 << BITS) - 1)).astype(np.int64)], kind="stable")[:p]
                     out.append((h[order].view(np.int64), np.full(p, rec, np.int64), np.full(p, n, np.int32), np.arange(p, dtype=np.int32)))
@@ -221,7 +245,7 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, reps: np.ndarray) -> DataFram
     return docs.mapInArrow(run, "token bigint, rec bigint, n int, pos int")
 
 
-def _pair_list(rec, n, pos, comp) -> list[tuple[np.ndarray, np.ndarray]]:
+def _pair_list(rec, n, pos, comp, bits) -> list[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs of one list, between components only, block by block in order of position.
 
     A pair counts at its first shared token, so at most 1 + min(n - pos - 1) tokens are shared.
@@ -229,6 +253,7 @@ def _pair_list(rec, n, pos, comp) -> list[tuple[np.ndarray, np.ndarray]]:
     rest = n - pos
     order = np.argsort(-rest, kind="stable")
     rec, n, rest, comp = rec[order], n[order].astype(np.int64), rest[order], comp[order]
+    bits = None if bits is None else bits[order]
     out = []
     for i in range(0, len(rec), BLOCK):
         a = slice(i, i + BLOCK)
@@ -241,13 +266,18 @@ def _pair_list(rec, n, pos, comp) -> list[tuple[np.ndarray, np.ndarray]]:
             may &= np.minimum.outer(n[a], n[b]) * 4 >= 3 * np.maximum.outer(n[a], n[b])
             may &= np.not_equal.outer(comp[a], comp[b])
             x, y = np.nonzero(may)
+            if bits is not None:
+                differ = np.bitwise_count((bits[a][x] ^ bits[b][y]).view(_U)).sum(1, dtype=np.int64)
+                close = 7 * differ <= n[a][x] + n[b][y]
+                x, y = x[close], y[close]
             x, y = rec[a][x], rec[b][y]
             out.append((np.minimum(x, y), np.maximum(x, y)))
     return out
 
 
 def _lists(rows: DataFrame, short: int | None) -> DataFrame:
-    """Pairs ``(a, b)`` of the lists; with ``short``, rows of longer lists come out as they are.
+    """Pairs ``(a, b)`` of the lists; with ``short``, rows of longer lists come out as they are;
+    without it, rows bring their parity bits.
 
     ``rows`` are dealt by token and sorted by it; a list may span batches.
     """
@@ -256,6 +286,8 @@ def _lists(rows: DataFrame, short: int | None) -> DataFrame:
         held = None
         for batch in batches:
             part = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(("token", "rec", "n", "pos", "comp"))}
+            if short is None:
+                part["bits"] = batch.column(5).flatten().to_numpy().reshape(-1, PARITY)
             if held is not None:
                 part = {c: np.concatenate([held[c], part[c]]) for c in part}
             if not len(part["token"]):
@@ -279,7 +311,7 @@ def _lists(rows: DataFrame, short: int | None) -> DataFrame:
                 long.append(s + first)
             else:
                 at = s + first
-                pairs += _pair_list(rec, part["n"][at], part["pos"][at], part["comp"][at])
+                pairs += _pair_list(rec, part["n"][at], part["pos"][at], part["comp"][at], part["bits"][at] if short is None else None)
         if pairs:
             both = np.unique(np.stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])], 1), axis=0)
             k = len(both)
@@ -296,7 +328,7 @@ def _lists(rows: DataFrame, short: int | None) -> DataFrame:
             )
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select("token", "rec", "n", "pos", "comp").repartition(parts, "token").sortWithinPartitions("token")
+    dealt = rows.select("token", "rec", "n", "pos", "comp", *(["bits"] if short is None else [])).repartition(parts, "token").sortWithinPartitions("token")
     return dealt.mapInArrow(run, "a bigint, b bigint, token bigint, rec bigint, n int, pos int")
 
 
@@ -313,12 +345,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     facts = cut(_facts(base))
     levels = _levels(facts)
     slim = facts.filter("slice IS NULL")
-    recs = cut(slim.filter("n > 0").groupBy("rec").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima")))
+    recs = cut(slim.filter("n > 0").groupBy("rec").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima"), F.first("bits").alias("bits")))
 
-    # many sets of one minimum hash: each is checked against the first of them
+    # many sets of one minimum hash: each is checked against a few of them
     lows = recs.select("rec", "n", F.posexplode("minima").alias("k", "low"))
-    crowds = lows.groupBy("k", "low").agg(F.min("rec").alias("lead"), F.count(F.lit(1)).alias("size")).filter(F.col("size") > CROWD)
-    leads = lows.join(crowds, ["k", "low"]).filter("rec <> lead").select(F.least("rec", "lead").alias("a"), F.greatest("rec", "lead").alias("b")).distinct()
+    crowds = lows.groupBy("k", "low").agg(
+        F.array_distinct(F.array(*[F.min_by(F.struct("rec", "n"), F.xxhash64("rec", F.lit(j))) for j in range(LEADERS)])).alias("leads"),
+        F.count(F.lit(1)).alias("size"),
+    ).filter(F.col("size") > CROWD)
+    leads = (
+        lows.join(crowds, ["k", "low"]).select("rec", "n", F.explode("leads").alias("lead"))
+        .filter("rec <> lead.rec AND 4 * least(n, lead.n) >= 3 * greatest(n, lead.n)")
+        .select(F.least("rec", "lead.rec").alias("a"), F.greatest("rec", "lead.rec").alias("b")).distinct()
+    )
     links = _verified(base, leads, recs)
     derived = components(links)
 
@@ -327,7 +366,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     long = (
         found.filter("token IS NOT NULL").select("token", "rec", "n", "pos")
         .join(derived.select(F.col("node").alias("rec"), F.col("label")), "rec", "left")
-        .select("token", "rec", "n", "pos", F.coalesce("label", "rec").alias("comp"))
+        .join(recs.select("rec", "bits"), "rec")
+        .select("token", "rec", "n", "pos", F.coalesce("label", "rec").alias("comp"), "bits")
     )
     candidates = found.filter("a IS NOT NULL").select("a", "b").unionByName(_lists(long, None).select("a", "b")).distinct()
     links = links.unionByName(_verified(base, candidates, recs))
