@@ -66,10 +66,10 @@ def op7_line_dedup(spark, d):
 
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(text, chr(10)) AS l FROM documents),
-e AS (SELECT r, source, unnest(l) AS line, generate_subscripts(l, 1) AS at FROM d),
+e AS (SELECT r, source, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM d),
 spread AS (SELECT line FROM e WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= 5),
 g AS (SELECT r, count(*) FILTER (WHERE line NOT IN (SELECT line FROM spread)) AS kept,
-  coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE line NOT IN (SELECT line FROM spread)), '') AS text FROM e GROUP BY r)
+  coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE line NOT IN (SELECT line FROM spread)), '') AS text FROM e GROUP BY r)
 SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines,
   CAST(coalesce(len(l) - kept, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(g.text, '')) AS text_sha256
