@@ -10,7 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# --- fixed values of the file format
 NULL_TOKENS = (".", "?")
+# --- fixed values of the file format
 DATE_SHAPE = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from compdict.checkpoints import cut
 
-# Groups up to this many rows are numbered by a plain window in one task.
-WINDOW_ROWS = 5_000_000
-
 
 def number_rows(
     df: DataFrame, order_by: list[str], name: str = "id", start: int = 1, partitions: int | None = None
@@ -46,17 +43,12 @@ def number_rows(
     )
 
 
-def number_within(
-    df: DataFrame, group: list[str], order_by: list[str], name: str = "id", window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def number_within(df: DataFrame, group: list[str], order_by: list[str], name: str = "id") -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY ...)``, also for groups too large for a task.
 
-    The group sizes are looked at first.  When all are small a window does; else all rows
-    are numbered in ``(group, order)`` order and each group's first number is taken off.
+    All rows are numbered in ``(group, order)`` order over all tasks and each group's first
+    number is taken off.
     """
-    too_large = df.groupBy(*group).count().filter(F.col("count") > window_rows)
-    if too_large.isEmpty():
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)))
     numbered = number_rows(df, [*group, *order_by], "_all")
     firsts = numbered.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group]).agg(F.min("_all").alias("_low"))
     same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])

@@ -83,7 +83,13 @@ def load_directory(
         text["chem_comp"].filter("id IS NOT NULL"), "doc", "left_anti"
     ).select("doc", F.lit("no component row").alias("reason"))
     late = no_parent
-    for df in bad_casts:
+    # rows of another component than the file is named for; a null key is no component
+    strangers = [
+        text[t].join(wanted, "doc").filter(F.upper(schema.parent_key(t)) != F.upper("stem"))
+        .select("doc", F.lit(f"other component in {t}").alias("reason"))
+        for t in tables
+    ]
+    for df in bad_casts + strangers:
         late = late.unionByName(df)
     rejects = cut(problems.unionByName(late).distinct())
 

@@ -31,12 +31,12 @@ def linked(r: Roles) -> DataFrame:
 @query("build_entity", f"""
 WITH {_ENTITY}
 SELECT 'entity' AS "Sf_category", 'entity_' || "ID" AS "Sf_framecode", 'NEED_ACC_NO' AS "Entry_ID", entity.sf AS "Sf_ID",
-  1 AS "ID", "BMRB_code", CASE WHEN "Name" IS NULL THEN 'entity_' || "ID" ELSE "Name" END AS "Name",
+  1 AS "Entity_ID", "BMRB_code", coalesce("Name", 'entity_' || "ID") AS "Name",
   CASE WHEN upper("Name") = 'WATER' THEN 'water' ELSE 'non-polymer' END AS "Type",
   1 AS "Number_of_nonpolymer_components", "ID" AS "Nonpolymer_comp_ID", 'chem_comp_' || "ID" AS "Nonpolymer_comp_label",
   "Paramagnetic", "Formula_weight"
 FROM star_component JOIN entity ON comp = "ID"
-""".replace('1 AS "ID"', '1 AS "Entity_ID"'))
+""")
 def build_entity(r: Roles) -> DataFrame:
     return entities(r)["Entity"].select(
         "Sf_category", "Sf_framecode", "Entry_ID", "Sf_ID", F.col("ID").alias("Entity_ID"), "BMRB_code", "Name", "Type",

@@ -65,7 +65,7 @@ def _directory(spark: SparkSession, directory: str) -> str:
 def below(path: Column, base: str) -> Column:
     """The part of a file URL below a base directory, percent signs decoded."""
     plain = F.url_decode(F.replace(F.regexp_replace(path, "^[A-Za-z0-9+.-]+:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
-    return F.substring(plain, len(base) + 2, 1 << 30)
+    return F.substr(plain, F.lit(len(base) + 2))
 
 
 def wanted_path(relative: Column, skip=SKIPPED_FOLDERS, extension: str = "cif") -> Column:
@@ -80,15 +80,22 @@ def component_id(path: Column, extension: str = "cif") -> Column:
 
 
 def scan_files(spark: SparkSession, directory: str) -> DataFrame:
-    """``(doc, id, size)`` of every wanted file; reads the listing only, no content."""
+    """``(doc, id, size)`` of every wanted file; reads the listing only, no content.
+
+    Spark plans no scan of a file of zero bytes; such files come from the names of its index.
+    """
     base = _directory(spark, directory)
-    doc = below(F.col("_metadata.file_path"), base)
-    return (
+    found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.cif")
         .load(directory)
-        .select(doc.alias("doc"), F.col("length").alias("size"))
+    )
+    sized = found.select(below(F.col("_metadata.file_path"), base).alias("doc"), F.col("length").alias("size"))
+    names = spark.createDataFrame([(f,) for f in found.inputFiles()], "path string")
+    empty = names.select(below(F.col("path"), base).alias("doc")).join(sized, "doc", "left_anti").withColumn("size", F.lit(0).cast("bigint"))
+    return (
+        sized.unionByName(empty)
         .filter(wanted_path(F.col("doc")))
         .withColumn("id", component_id(F.col("doc")))
     )
@@ -664,7 +671,7 @@ def document_facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = N
         return F.when(F.coalesce(cond, F.lit(False)), name)
 
     return per_segment.groupBy("doc").agg(
-        F.substring(F.min("block")["name"], 6, 1 << 30).alias("block"),
+        F.substr(F.min("block")["name"], F.lit(6)).alias("block"),
         F.bool_or(F.col("atoms") & (F.col("n") > 0)).alias("has_atoms"),
         last("initial"), last("modified"),
         ever("replaced_by"), ever("release_status", _is_withdrawn), ever("subcomponents"),

@@ -113,3 +113,27 @@ def test_life_of_a_dictionary(spark, tmp_path):
     assert rows(snapshot.read_snapshot(spark, root, ["chem_comp_atom"], 1)["chem_comp_atom"].select("comp_id")) == [
         ("AAA",), ("AAA",)
     ]
+
+
+def test_other_component_in_a_file_is_rejected_once_and_for_ever(spark, tmp_path):
+    folder, root = tmp_path / "cif", str(tmp_path / "store")
+    write(folder, {"AAA.cif": component("AAA"), "BBB.cif": component("BBB")})
+    first = load.load_directory(spark, str(folder), tables=TABLES)
+    stored = settle(spark, first, root)
+    write(folder, {"AAA.cif": component("BBB", modified="2012-01-01")})
+    for _ in range(2):
+        again = load.load_directory(spark, str(folder), stored, tables=TABLES)
+        assert sorted(r["id"] for r in again.tables["chem_comp"].select("id").collect()) == ["AAA", "BBB"]
+        assert {r["doc"] for r in again.rejects.collect()} == {"AAA.cif"}
+        stored = settle(spark, again, root)
+
+
+def test_emptied_file_keeps_its_component(spark, tmp_path):
+    folder, root = tmp_path / "cif", str(tmp_path / "store")
+    write(folder, {f"{c * 3}.cif": component(c * 3) for c in "ABC"})
+    stored = settle(spark, load.load_directory(spark, str(folder), tables=TABLES), root)
+    write(folder, {"CCC.cif": ""})
+    again = load.load_directory(spark, str(folder), stored, tables=TABLES)
+    assert sorted(r["id"] for r in again.tables["chem_comp"].select("id").collect()) == ["AAA", "BBB", "CCC"]
+    assert stats(again)["total"] == 3
+    assert {r["doc"] for r in again.rejects.collect()} == {"CCC.cif"}
