@@ -52,6 +52,21 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_ROWS)
 
 
+_HELD: list = [None, None]
+
+
+def held(key, make):
+    """What ``make`` builds, kept in a worker process until another key is asked for.
+
+    A worker holds one thing at a time, so the caches of operators that run one after the
+    other do not add up.
+    """
+    if _HELD[0] != key:
+        _HELD[:] = [None, None]
+        _HELD[:] = [key, make()]
+    return _HELD[1]
+
+
 def class_sample(rows: DataFrame, label: str, key: str, per_class: int, max_classes: int = 200) -> tuple[DataFrame, dict]:
     """About ``per_class`` rows of each of the most frequent classes, chosen by a hash of the key.
 

@@ -10,13 +10,12 @@ beyond that is walked as one lattice in single precision.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from compdict.llm.common import ship, slices
+from compdict.llm.common import held, ship, slices
 from compdict.llm.pieces import CACHE, CACHE_CHARS, SPACE, Vocabulary
 
 EXACT_EIGHTHS = 1 << 24
@@ -84,10 +83,9 @@ class Counter:
         return pieces, float(single)
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     """One counter a worker process and model."""
-    return Counter(path)
+    return held(("counter", path), lambda: Counter(path))
 
 
 def count_tokens(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

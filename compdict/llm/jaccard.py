@@ -13,7 +13,6 @@ only look for links between components.  All candidates are verified on whole se
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from compdict.checkpoints import cut
-from compdict.llm.common import components, ship, slices
+from compdict.llm.common import components, held, ship, slices
 
 SHINGLE = 5
 # Frequency table: 2 ** BITS buckets of one byte, in SLICES parts.
@@ -40,7 +39,8 @@ SHORT_LIST = 8
 # Leaders of one minimum.
 LEADERS = 4
 BLOCK = 512
-WORD_CACHE = 1_000_000
+# Word hashes a worker keeps; a full cache is emptied.
+WORD_CACHE = 250_000
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], _U)
 
@@ -52,14 +52,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-@lru_cache(maxsize=1)
-def _words() -> dict[bytes, int]:
-    return {}
-
-
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a whole text's shingles; A-Z are lower-cased."""
-    known = _words()
+    known = held("words", dict)
     if len(known) > WORD_CACHE:
         known.clear()
     words = (text or "").encode().lower().split()
@@ -131,29 +126,27 @@ def _facts(docs: DataFrame) -> DataFrame:
 def _levels(facts: DataFrame) -> np.ndarray:
     """Logarithm of each bucket's count over all documents; 2 ** BITS bytes reach the driver."""
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((1 << BITS) // SLICES, np.float32)
+    def total(rows: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((1 << BITS) // SLICES, np.float32)
         for kind, blob in zip(rows["task"], rows["blob"]):
-            total += np.frombuffer(zlib.decompress(blob), np.uint8 if kind >= 0 else np.float32)
-        return pd.DataFrame({"slice": [key[0]], "task": [-1], "blob": [zlib.compress(total.tobytes(), 1)]})
+            out += np.frombuffer(zlib.decompress(blob), np.uint8 if kind >= 0 else np.float32)
+        return out
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": [key[0]], "task": [-1], "blob": [zlib.compress(total(rows).tobytes(), 1)]})
+
+    def logs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": [key[0]], "levels": [np.log2(1 + total(rows)).astype(np.uint8).tobytes()]})
 
     blobs = facts.filter("slice IS NOT NULL").select("slice", "task", "blob")
     # two steps, so that one task never adds up the counts of all
-    for key in (("slice", F.floor(F.col("task") / 256)), ("slice",)):
-        blobs = blobs.groupBy(*key).applyInPandas(add, "slice int, task int, blob binary")
+    parts = blobs.groupBy("slice", F.floor(F.col("task") / 256)).applyInPandas(add, "slice int, task int, blob binary")
     out = np.zeros((SLICES, (1 << BITS) // SLICES), np.uint8)
-    packed = blobs.select("slice", "blob").mapInArrow(_logs, "slice int, levels binary")
-    for part, levels in packed.collect():
+    for part, levels in parts.groupBy("slice").applyInPandas(logs, "slice int, levels binary").collect():
         out[part] = np.frombuffer(levels, np.uint8)
     return out.reshape(-1)
 
 
-def _logs(batches):
-    for b in batches:
-        made = [np.log2(1 + np.frombuffer(zlib.decompress(x), np.float32)).astype(np.uint8).tobytes() for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["slice", "levels"])
-
-
 def _marked(reps: DataFrame) -> np.ndarray:
     """Bits of the representatives' IDs: 2 ** MARK_BITS bits reach the driver, however many there are."""
 

@@ -11,19 +11,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from compdict.llm.common import ship, slices
+from compdict.llm.common import held, ship, slices
 
 SPACE = "▁"
 # Latin, Greek and Cyrillic letters; ASCII punctuation.
 LETTERS, MARKS = r"A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ӿ", r"!-/:-@\[-`{-~"
 # Cached chunks and pairs in a worker; a full cache is emptied.
-CACHE = 500_000
+CACHE = 200_000
 CACHE_CHARS = 48
 
 
@@ -225,10 +224,9 @@ def _utf8(run: bytes) -> str:
         return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One codec a worker process and model."""
-    return Codec(path)
+    return held(("codec", path), lambda: Codec(path))
 
 
 def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", full: bool = True) -> DataFrame:
