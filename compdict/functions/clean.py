@@ -95,7 +95,10 @@ def epoch_if_null(c) -> Column:
 
 
 def star_value(c) -> Column:
-    """One value as STAR text: bare when it is a plain word, else quoted, else a text field."""
+    """One value as STAR text: bare when it is a plain word, else quoted, else a text field.
+
+    A semicolon that starts a line would end the text field, so a space goes before it.
+    """
     c = _col(c).cast("string")
     bare = c.rlike(r"""^[^\s_#$'"\[\];][^\s]*$""") & ~c.rlike(r"(?i)^(data_|save_|loop_$|stop_$|global_$)")
     return (
@@ -103,5 +106,5 @@ def star_value(c) -> Column:
         .when(bare & ~c.isin(*NULL_TOKENS), c)
         .when(~c.contains("\n") & ~c.contains("'"), F.concat(F.lit("'"), c, F.lit("'")))
         .when(~c.contains("\n") & ~c.contains('"'), F.concat(F.lit('"'), c, F.lit('"')))
-        .otherwise(F.concat(F.lit("\n;"), c, F.lit("\n;")))
+        .otherwise(F.concat(F.lit("\n;"), F.replace(c, F.lit("\n;"), F.lit("\n ;")), F.lit("\n;")))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,46 @@ def not_null_violations(df: DataFrame, columns, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.explode(missing).alias("column"))
 
 
+def constraint_report(
+    tables: dict[str, DataFrame],
+    unique: dict[str, list[tuple[str, ...]]],
+    not_null: dict[str, tuple[str, ...]],
+    references: list[tuple[str, tuple[str, ...], str, tuple[str, ...]]],
+) -> DataFrame:
+    """``(table, rule, columns, key, n)`` of every rule that the given tables break.
+
+    ``rule`` is ``unique`` (``n`` rows hold the key), ``not null`` (``n`` rows lack the
+    column, no key) or ``reference`` (``n`` rows point to a key no parent holds).  Rules of
+    tables not given are left out; so are references to them.  One aggregation a key, one a
+    table for its columns, and one anti join a pair of tables.
+    """
+    def row(table: str, rule: str, columns: Column, key: Column) -> list[Column]:
+        return [
+            F.lit(table).alias("table"), F.lit(rule).alias("rule"), columns.alias("columns"), key.alias("key"), F.col("n")
+        ]
+
+    parts = []
+    for table, keys in unique.items():
+        for key in keys if table in tables else ():
+            found = unique_violations(tables[table], list(key))
+            parts.append(found.select(*row(table, "unique", F.lit(", ".join(key)), F.concat_ws(", ", *key))))
+    for table, columns in not_null.items():
+        if table in tables:
+            found = not_null_violations(tables[table], columns, []).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(found.select(*row(table, "not null", F.col("column"), F.lit(None).cast("string"))))
+    grouped: dict[tuple, dict[str, tuple[str, ...]]] = {}
+    for child, columns, parent, parent_columns in references:
+        if child in tables and parent in tables:
+            grouped.setdefault((child, parent, parent_columns), {})[", ".join(columns)] = columns
+    for (child, parent, parent_columns), refs in grouped.items():
+        found = reference_violations(tables[child], refs, tables[parent], parent_columns)
+        keys = [f"key_{i + 1}" for i in range(len(parent_columns))]
+        parts.append(found.select(*row(child, "reference", F.col("reference"), F.concat_ws(", ", *keys))))
+    if not parts:
+        raise ValueError("no rule applies to the given tables")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cast_rejects(df: DataFrame, types: dict[str, T.DataType], keep: list[str]) -> DataFrame:
     """``(keep..., column, value)``: one row per text that does not fit its column type."""
     bad = F.array_compact(F.array(*[

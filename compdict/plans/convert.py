@@ -108,6 +108,21 @@ def map_rejects(source: DataFrame, table: str) -> DataFrame:
     return quality.cast_rejects(source, wrong, ["comp_id"])
 
 
+def missing_rejects(new: DataFrame, table: str) -> DataFrame:
+    """``(comp_id, column, value)`` of mapped rows without a required value; the value is NULL."""
+    return quality.not_null_violations(new, schema.NOT_NULL[table], ["Comp_ID"]).select(
+        F.col("Comp_ID").alias("comp_id"), "column", F.lit(None).cast("string").alias("value")
+    )
+
+
+def keyless_rejects(source: DataFrame) -> DataFrame:
+    """``(comp_id, column, value)`` of source rows that name no component."""
+    null = F.lit(None).cast("string")
+    return source.filter("comp_id IS NULL").select(
+        null.alias("comp_id"), F.lit("comp_id").alias("column"), null.alias("value")
+    )
+
+
 def fill_codes(components: DataFrame) -> DataFrame:
     return merge.fill_nulls(components, {"BMRB_code": "ID", "PDB_code": "ID"})
 
@@ -134,11 +149,15 @@ def fill_facts(components: DataFrame, children: dict[str, DataFrame], aromatic:
     return components
 
 
-def recompute(components: DataFrame, atoms: DataFrame, bonds: DataFrame, as_of: date | None = None) -> DataFrame:
+def recompute(
+    components: DataFrame, atoms: DataFrame, bonds: DataFrame, as_of: date | None = None,
+    aromatic: derive.Fact | None = None,
+) -> DataFrame:
     """Set derived values of refreshed components, kept values or not.
 
     Codes always follow the ID and the type is upper case; the atom count stays where
-    there are no atoms; with ``as_of`` both dates start anew.
+    there are no atoms; with ``as_of`` both dates start anew.  The aromatic rule is that of
+    ``convert`` unless another is given.
     """
     out = derive.derive(
         components, atoms, "ID", "Comp_ID",
@@ -148,7 +167,7 @@ def recompute(components: DataFrame, atoms: DataFrame, bonds: DataFrame, as_of:
         },
         overwrite=True,
     )
-    out = derive.derive(out, bonds, "ID", "Comp_ID", {"Aromatic": derive.exact_flag("Aromatic_flag")}, overwrite=True)
+    out = derive.derive(out, bonds, "ID", "Comp_ID", {"Aromatic": aromatic or derive.any_flag("Aromatic_flag")}, overwrite=True)
     changes = {"BMRB_code": F.col("ID"), "PDB_code": F.col("ID"), "Type": F.upper("Type")}
     if as_of is not None:
         changes.update(Initial_date=F.lit(as_of), Modified_date=F.lit(as_of))
@@ -179,7 +198,11 @@ def convert(
     aromatic: derive.Fact | None = None,
     framecode_prefix: str = "chem_comp",
 ) -> Converted:
-    """Add components the STAR side does not hold yet; those it holds are never touched but for NULLs."""
+    """Add components the STAR side does not hold yet; those it holds are never touched but for NULLs.
+
+    A new child row that names no component or lacks a required value is a reject with a
+    NULL value and is not stored; text that does not fit its column is a reject with that text.
+    """
     aromatic = aromatic or derive.any_flag("Aromatic_flag")
     old = star["Chem_comp"]
     fresh = map_component(
@@ -191,16 +214,21 @@ def convert(
 
     tables, rejects, orphans = {}, [], []
     for table, source in CHILDREN.items():
-        new = map_child(merge.new_only(cif[source], star[table], "comp_id", "Comp_ID"), table)
+        incoming = merge.new_only(cif[source], star[table], "comp_id", "Comp_ID")
+        new = map_child(incoming, table)
         if table == "Chem_comp_angle":
             new = ids.number_within(
                 new.drop("ID"), ["Comp_ID"], ["Atom_ID_1", "Atom_ID_2", "Atom_ID_3"], "ID"
             ).select(*star[table].columns)
+        rejects += [
+            found.select(F.lit(table).alias("table"), "comp_id", "column", "value")
+            for found in (map_rejects(incoming, table), missing_rejects(new, table), keyless_rejects(cif[source]))
+        ]
+        new = new.dropna(subset=list(schema.NOT_NULL[table]))
         orphans.append(
             merge.not_in(new, parents, "Comp_ID").groupBy("Comp_ID").agg(F.count(F.lit(1)).alias("n"))
             .select(F.lit(table).alias("table"), "Comp_ID", "n")
         )
-        rejects.append(map_rejects(cif[source], table).select(F.lit(table).alias("table"), "*"))
         tables[table] = star[table].unionByName(merge.only_in(new, parents, "Comp_ID"))
 
     tables["Chem_comp_atom"] = fill_atom_codes(tables["Chem_comp_atom"])

@@ -218,7 +218,9 @@ SELECT "ID", "ID" AS "BMRB_code", "ID" AS "PDB_code", upper("Type") AS "Type",
 FROM star_component LEFT JOIN a ON a.k = "ID" LEFT JOIN b ON b.k = "ID"
 """)
 def recompute_derived(r: Roles) -> DataFrame:
-    return convert.recompute(r.star_component, r.star_atom, r.star_bond, _AS_OF).select(
+    return convert.recompute(
+        r.star_component, r.star_atom, r.star_bond, _AS_OF, aromatic=derive.exact_flag("Aromatic_flag")
+    ).select(
         "ID", "BMRB_code", "PDB_code", "Type", "Initial_date", "Modified_date",
         "Number_atoms_all", "Number_atoms_nh", "Aromatic",
     )

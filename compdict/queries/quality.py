@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from compdict import schema
 from compdict.operators import quality
+from compdict.plans import convert
 from compdict.queries.registry import Roles, query
 
 
@@ -77,3 +79,39 @@ FROM ({_ENTRIES.format(lineitem='lineitem')}) e WHERE "ID" NOT IN (SELECT DISTIN
 """)
 def unknown_count(r: Roles) -> DataFrame:
     return unknown_components(r).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("constraint_report", """
+WITH refs AS (
+  SELECT 'chem_comp_atom' AS t, 'comp_id' AS c, comp_id AS k, comp_id IN (SELECT id FROM component) AS known FROM atom
+  UNION ALL SELECT 'pdbx_chem_comp_descriptor', 'comp_id', comp_id, comp_id IN (SELECT id FROM component) FROM descriptor
+  UNION ALL SELECT t, c, comp_id || ', ' || a, (comp_id, a) IN (SELECT (comp_id, atom_id) FROM atom) FROM (
+    SELECT 'chem_comp_bond' AS t, 'comp_id, atom_id_1' AS c, comp_id, atom_id_1 AS a FROM bond
+    UNION ALL SELECT 'chem_comp_bond', 'comp_id, atom_id_2', comp_id, atom_id_2 FROM bond
+    UNION ALL SELECT 'chem_comp_angle', 'comp_id, atom_id_1', comp_id, atom_id_1 FROM angle
+    UNION ALL SELECT 'chem_comp_angle', 'comp_id, atom_id_2', comp_id, atom_id_2 FROM angle
+    UNION ALL SELECT 'chem_comp_angle', 'comp_id, atom_id_3', comp_id, atom_id_3 FROM angle
+    UNION ALL SELECT 'chem_comp_tor', 'comp_id, atom_id_1', comp_id, atom_id_1 FROM torsion
+    UNION ALL SELECT 'chem_comp_tor', 'comp_id, atom_id_2', comp_id, atom_id_2 FROM torsion
+    UNION ALL SELECT 'chem_comp_tor', 'comp_id, atom_id_3', comp_id, atom_id_3 FROM torsion
+    UNION ALL SELECT 'chem_comp_tor', 'comp_id, atom_id_4', comp_id, atom_id_4 FROM torsion) x),
+keys AS (
+  SELECT 'chem_comp' AS t, 'id' AS c, id AS k FROM component
+  UNION ALL SELECT 'chem_comp_atom', 'comp_id, atom_id', comp_id || ', ' || atom_id FROM atom
+  UNION ALL SELECT 'chem_comp_tor', 'comp_id, id', comp_id || ', ' || id FROM torsion),
+lacking AS (
+  SELECT 'Descriptor' AS c, descriptor AS v FROM descriptor UNION ALL SELECT 'Type', type FROM descriptor
+  UNION ALL SELECT 'Comp_ID', comp_id FROM descriptor)
+SELECT t AS "table", 'reference' AS rule, c AS "columns", k AS "key", count(*) AS n FROM refs
+WHERE k IS NOT NULL AND NOT known GROUP BY t, c, k
+UNION ALL SELECT t, 'unique', c, k, count(*) FROM keys WHERE k IS NOT NULL GROUP BY t, c, k HAVING count(*) > 1
+UNION ALL SELECT 'Chem_comp_descriptor', 'not null', c, NULL, count(*) FROM lacking WHERE v IS NULL GROUP BY c
+""")
+def constraint_report(r: Roles) -> DataFrame:
+    """Rules of the CIF side, and the required values of mapped descriptors."""
+    tables = {
+        "chem_comp": r.component, "chem_comp_atom": r.atom, "chem_comp_bond": r.bond, "chem_comp_tor": r.torsion,
+        "chem_comp_angle": r.angle, "pdbx_chem_comp_descriptor": r.descriptor,
+        "Chem_comp_descriptor": convert.map_child(r.descriptor, "Chem_comp_descriptor"),
+    }
+    return quality.constraint_report(tables, schema.UNIQUE, schema.NOT_NULL, schema.REFERENCES)

@@ -6,7 +6,7 @@ import pytest
 
 from compdict import schema
 from compdict.operators import derive, merge
-from compdict.plans import convert, entity, publish
+from compdict.plans import convert, entity, publish, refresh
 
 DAY = datetime.date(2021, 3, 4)
 
@@ -122,3 +122,62 @@ def test_publish(spark, tmp_path):
     publish.public_dump(parents, str(tmp_path / "csv"), "ID", ["ID", "Name"], 2, "csv")
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert sorted(r.ID for r in back.collect()) == ["A", "B"]
+
+
+def test_convert_rejects_rows_without_required_values(spark, cif_side):
+    cif_side["chem_comp_bond"] = make(spark, "chem_comp_bond", [
+        {"comp_id": "ALA", "atom_id_1": "N", "atom_id_2": "H", "pdbx_ordinal": 1},
+        {"comp_id": "ALA", "atom_id_1": "N", "atom_id_2": "D"}, {"atom_id_1": "N", "atom_id_2": "D", "pdbx_ordinal": 3},
+    ])
+    done = convert.convert(cif_side, schema.empty_tables(spark, schema.STAR), DAY)
+    assert [r.ID for r in done.tables["Chem_comp_bond"].collect()] == [1]
+    assert sorted(map(tuple, done.rejects.filter("table = 'Chem_comp_bond'").collect()), key=str) == sorted(
+        [("Chem_comp_bond", "ALA", "ID", None), ("Chem_comp_bond", None, "comp_id", None)], key=str
+    )
+
+
+@pytest.fixture
+def star_side(spark, cif_side):
+    star = schema.empty_tables(spark, schema.STAR)
+    star |= convert.convert(cif_side, star, DAY).tables
+    star |= entity.build_entities(star["Chem_comp"])
+    # stored, as between two runs
+    return {table: df.coalesce(1).checkpoint() for table, df in star.items()}
+
+
+def test_remove_components_from_all_tables(spark, star_side):
+    left = refresh.remove_components(star_side, spark.createDataFrame([("ALA",)], "_key string"))
+    ids = lambda t, c: {r[0] for r in left[t].select(c).collect()}
+    assert ids("Chem_comp", "ID") == ids("Entity", "Nonpolymer_comp_ID") == ids("Entity_comp_index", "Comp_ID") == {"HOH", "NUL"}
+    assert ids("Chem_comp_atom", "Comp_ID") == ids("Chem_comp_angle", "Comp_ID") == set()
+    frames = ids("Entity", "Sf_ID")
+    for names in refresh.BY_ENTITY:
+        assert ids(names, "Sf_ID") == frames, names
+
+
+def test_apply_refresh(spark, cif_side, star_side):
+    cif_side["chem_comp_atom"] = make(spark, "chem_comp_atom", [
+        {"comp_id": "ALA", "atom_id": "N2", "type_symbol": "N"}, {"comp_id": "HOH", "atom_id": "O", "type_symbol": "O"},
+    ])
+    actions = spark.createDataFrame(
+        [("ALA", "REPLACE"), ("HOH", "CONFLICT"), ("NUL", "UNCHANGED"), ("OLD", "NEW")], "id string, action string"
+    )
+    later = datetime.date(2022, 5, 6)
+    done = refresh.apply_refresh(cif_side, star_side, actions, later)
+    comp = {r.ID: r for r in done.tables["Chem_comp"].collect()}
+    assert set(comp) == {"ALA", "HOH", "NUL"}
+    ala = comp["ALA"]
+    assert (ala.Number_atoms_all, ala.Number_atoms_nh, ala.Aromatic, ala.Modified_date, ala.BMRB_code) == (1, 1, "yes", later, "ALA")
+    before = {r.ID: r for r in star_side["Chem_comp"].collect()}
+    assert comp["HOH"] == before["HOH"] and comp["NUL"] == before["NUL"]
+    assert [(r.Comp_ID, r.Atom_ID, r.PDB_atom_ID) for r in done.tables["Chem_comp_atom"].collect()] == [("ALA", "N2", "N2")]
+    assert [r.Aromatic_flag for r in done.tables["Chem_comp_bond"].orderBy("ID").collect()] == ["no", "yes"]
+    assert [r.id for r in done.conflicts.collect()] == ["HOH"]
+    assert {r[0] for r in done.tables["Entity"].select("Nonpolymer_comp_ID").collect()} == {"HOH", "NUL"}
+
+
+def test_star_text_keeps_semicolons_inside(spark):
+    from compdict.functions import clean
+
+    got = spark.createDataFrame([("a\n;b",)], "v string").select(clean.star_value("v")).first()[0]
+    assert got == "\n;a\n ;b\n;"
