@@ -6,7 +6,9 @@ import importlib.util
 
 from pyspark.sql import functions as F
 
-from compdict.llm import contamination, counts, jaccard, language, licenses, lines, neighbours, pieces, shards, toxicity
+from compdict.llm import (
+    contamination, conversations, counts, jaccard, language, licenses, lines, neighbours, pieces, search, shards, toxicity, urls,
+)
 from compdict.llm.common import id_remainder, table
 
 if importlib.util.find_spec("public_tokenizers"):
@@ -98,3 +100,21 @@ QUERIES = {
     )
 }
 ORACLES = {"op5_licenses": licenses.scan_sql(), "op7_line_dedup": OP7_SQL}
+
+
+def op11_conversation_repair(spark, d):
+    return conversations.repair(table(spark, d, "conversations"))
+
+
+def op12_url_filter(spark, d):
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).cast("int").alias("bad"))
+    return urls.judge(table(spark, d, "pages"), labels)
+
+
+def op13_lexical_search(spark, d):
+    return search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+QUERIES.update({f.__name__: f for f in (op11_conversation_repair, op12_url_filter, op13_lexical_search)})
+ORACLES["op12_url_filter"] = urls.judge_sql()
+ORACLES["op13_lexical_search"] = search.search_sql()
