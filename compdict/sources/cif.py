@@ -1,16 +1,16 @@
 """CIF text as Spark tables: scan, units, segments, rows, rejects, header.
 
-The unit of input is a *line*, not a file: ``(doc, line_no, line)``, where ``doc``
-names the document (one component) and ``line_no`` orders its lines.  Input that
-holds documents too large for one task has a further column ``part``: 0 for a
-document in one piece, else the number of the piece, growing along the document;
-``line_no`` then orders the lines of a part.
-
-Files larger than a scan split arrive cut at the split borders, and a table cuts
-its large documents with ``in_parts``.  All windows run per ``(doc, part)``, so one
-huge document is spread over its parts; what a part must know about the earlier
-ones (is a text field open, which loop goes on) comes from a summary of at most
-two rows per part.  Without a ``part`` column none of that is in the plan.
+The unit of input is a *line*, not a file: ``(doc, part, line_no, line)``, where ``doc``
+names the document (one component), ``part`` is 0 for a document in one piece, else the
+number of the piece, growing along the document, and ``line_no`` orders the lines of a part.
+
+Files larger than a scan split arrive cut at the split borders, and a table cuts its large
+documents with ``in_parts``.  The plan is the same whatever the sizes, with one scan of the
+text: all windows run per ``(doc, part)`` in the partitions of one shuffle, so one huge
+document is spread over its parts.  A part after the first is lexed from both states it may
+begin in (inside a text field or not); the units are written once; what a part must know of
+the earlier ones (its true entry state, which segment goes on, how many values came before)
+comes from summaries of at most two rows per part, combined in part order and broadcast.
 
 Loop rows that sit on one line, which is nearly all of them, stay arrays from the
 line to the table row.  Only values that run over lines are split into cells and
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from compdict import schema
+from compdict.checkpoints import cut as checkpoint_cut
 from compdict.functions import clean
 
 # --- fixed values: lexical rules of the format ------------------------------
@@ -106,16 +107,13 @@ def _bytes(spark: SparkSession, setting: str) -> int:
 
 
 def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Lines of every wanted file below a directory.
+    """Lines of every wanted file below a directory: ``(doc, part, line_no, line)``.
 
-    When some file may be larger than a scan split the lines have a ``part``: 0 for a
-    file within one split, else each split is a part.  ``line_no`` grows within a
-    split, which is all the order that is needed.
+    ``part`` is 0 for a file within one scan split, else each split of the file is a part,
+    numbered by where it starts.  ``line_no`` grows within a split, which is all the order
+    that is needed.  There is one plan whatever the file sizes: nothing is looked at first.
     """
     base = _directory(spark, directory)
-    # no split is smaller than this
-    whole = min(_bytes(spark, "spark.sql.files.maxPartitionBytes"), _bytes(spark, "spark.sql.files.openCostInBytes"))
-    cut = not scan_files(spark, directory).filter(F.col("size") > whole).isEmpty()
     meta = F.col("_metadata")
     raw = (
         spark.read.option("recursiveFileLookup", True)
@@ -133,31 +131,31 @@ def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
     part = F.when(F.col("size") > F.col("length"), F.col("start") + 1).otherwise(0).cast("long").alias("part")
     return raw.select(
         below(F.col("path"), base).alias("doc"),
-        *([part] if cut else []),
+        part,
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
 def in_parts(lines: DataFrame, max_lines: int = 2_000_000, counted: DataFrame | None = None) -> DataFrame:
-    """Cut documents above ``max_lines`` lines into parts.
+    """Cut documents above ``max_lines`` lines into parts; ``part`` is 0 for all others.
 
-    The document sizes are looked at first; when none is too large the lines stay as they are.
-    ``counted`` may name a cheaper frame with one ``doc`` per line to count.  Line numbers may
-    have gaps but should be spread evenly.
+    One aggregation counts the lines of every document (``counted`` may name a cheaper frame
+    with one ``doc`` per line); only documents above the limit come out of it, one row each,
+    and are joined to the lines by broadcast: there are at most (lines / ``max_lines``) of them.
+    Nothing is looked at first, so the plan is the same whether a document is cut or not.
+    Line numbers may have gaps but should be spread evenly.
     """
-    too_large = (lines if counted is None else counted).groupBy("doc").count().filter(F.col("count") > max_lines).drop("count")
-    if too_large.isEmpty():
-        return lines
+    too_large = (lines if counted is None else counted).groupBy("doc").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_lines)
+    # the span of line numbers of those documents only: a filter in the scan, no shuffle of lines
     sizes = (
-        lines.join(too_large, "doc", "left_semi")
-        .groupBy("doc")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("line_no").alias("_low"), F.max("line_no").alias("_high"))
+        lines.join(F.broadcast(too_large), "doc")
+        .groupBy("doc").agg(F.any_value("_n").alias("_n"), F.min("line_no").alias("_low"), F.max("line_no").alias("_high"))
     )
     share = (F.col("line_no") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
     part = F.floor(share * F.ceil(F.col("_n") / max_lines)) + 1
     return (
-        lines.join(sizes, "doc", "left")
+        lines.join(F.broadcast(sizes), "doc", "left")
         .withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
         .drop("_n", "_low", "_high")
     )
@@ -187,34 +185,32 @@ def _kind(token: Column) -> Column:
     )
 
 
-def _open_text(lines: DataFrame) -> DataFrame:
-    """``(doc, part, semis)``: lines starting with ``;`` in earlier parts of a cut document."""
-    per_part = (
-        lines.filter("part > 0")
-        .groupBy("doc", "part")
-        .agg(F.sum(F.col("line").startswith(";").cast("long")).alias("n"))
-    )
-    earlier = Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return per_part.select("doc", "part", F.sum("n").over(earlier).alias("semis")).filter("semis > 0")
-
-
 def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
-    """Split lines into units ``(doc, [part,] line_no, u, kind, vals, broken)``.
+    """Split lines into units ``(doc, part, entry, semis, line_no, u, kind, vals, broken)``.
+
+    The lines of a part after the first are split twice: as if the part began outside a
+    text field (``entry`` 0) and inside one (1); ``semis`` is the number of lines starting
+    with ``;`` in the part.  ``segments`` keeps the split that the parts before imply.
 
     ``kind`` is data, loop, tag, val, text (first line of a text field), cont
     (a further line of it) or reserved.  A line of nothing but values is one unit.
     With ``quoted_null`` a quoted null token is NULL like a bare one; without, it is
     text and bare null tokens become NULL here.
     """
+    if not _is_cut(lines):
+        lines = lines.withColumn("part", F.lit(0).cast("long"))
     semi = F.col("line").startswith(";")
-    piece = _piece(lines)
+    piece = ["doc", "part"]
     before = Window.partitionBy(*piece).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("semi", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
-    if _is_cut(lines):
-        placed = placed.join(_open_text(lines), piece, "left").withColumn(
-            "semi", F.col("semi") + F.coalesce("semis", F.lit(0))
-        )
-    placed = placed.withColumn("inside", F.col("semi") % 2 == 1)
+    # a part after the first is lexed from both start states; segments keeps the true one
+    entry = F.explode(F.when(F.col("part") > 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    placed = (
+        lines.withColumn("semi", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
+        .withColumn("semis", F.sum(semi.cast("long")).over(Window.partitionBy(*piece)))
+        .select("*", entry.alias("entry"))
+        .withColumn("inside", (F.col("semi") + F.col("entry")) % 2 == 1)
+    )
+    piece = [*piece, "entry", "semis"]
     rest = F.substring("line", 2, 1 << 30)
     body = F.when(semi & F.col("inside"), rest).when(~semi & ~F.col("inside"), F.col("line"))
     text = (
@@ -329,14 +325,32 @@ def _continued(pieces: DataFrame) -> DataFrame:
     )
 
 
+def _entries(local: DataFrame) -> DataFrame:
+    """``(doc, part, _true)``: the text-field state each part after the first begins in.
+
+    A part's effect on the state is the parity of its lines that start with ``;``; the
+    effects of the parts before are summed in part order, one small row per part.  Every
+    such line gives a unit under at least one entry state, so ``semis`` is seen.
+    """
+    per_part = local.filter("part > 0").groupBy("doc", "part").agg(F.max("semis").alias("_semis"))
+    earlier = Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return per_part.select("doc", "part", (F.coalesce(F.sum("_semis").over(earlier), F.lit(0)) % 2).alias("_true"))
+
+
 def segments(unit_rows: DataFrame) -> DataFrame:
     """Give every unit its segment: one free tag with its value, or one loop.
 
     Adds ``spart, sseg`` (identity of the segment within the document), ``loop``,
     ``tags`` (as ``category.column``) and ``i``, the index of the unit's first value
     within the segment.
+
+    One plan for any input: segments are numbered within each part (and entry state) in the
+    partitions the units were made in, the result is written once, and what a part must know
+    of the parts before it (its entry state, the segment it goes on with, values before it)
+    comes from summaries of at most two rows a part, combined in part order and broadcast:
+    there is one row per scan split of a cut document at most.
     """
-    piece = _piece(unit_rows)
+    piece = ["doc", "part", "entry"]
     order = Window.partitionBy(*piece).orderBy(*PLACE)
     closed = F.lag("kind").over(order).isin("data", *VALUE_KINDS)
     starts = F.col("kind").isin("data", "loop") | ((F.col("kind") == "tag") & F.coalesce(closed, F.lit(False)))
@@ -349,19 +363,19 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy(*piece, "seg").orderBy(*PLACE)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = (
+    local = checkpoint_cut(
         pieces.withColumn("done_here", F.coalesce(
             F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", _tag(F.col("vals")[0]))).over(whole))
         .withColumn("own_loop", F.first("kind").over(whole) == "loop")
     )
-    shape = [*piece, *PLACE, "kind", "vals", "n", "broken"]
-    if not _is_cut(unit_rows):
-        return local.select(
-            *shape, F.lit(0).cast("long").alias("spart"), F.col("seg").alias("sseg"),
-            F.col("own_loop").alias("loop"), F.col("own_tags").alias("tags"), _index(F.col("done_here")),
-        )
-    return local.join(_continued(pieces), ["doc", "part", "seg"], "left").select(
+    local = (
+        local.join(F.broadcast(_entries(local)), ["doc", "part"], "left")
+        .filter(F.col("entry") == F.coalesce("_true", F.lit(0)))
+        .drop("_true", "entry", "semis")
+    )
+    shape = ["doc", "part", *PLACE, "kind", "vals", "n", "broken"]
+    return local.join(F.broadcast(_continued(local)), ["doc", "part", "seg"], "left").select(
         *shape,
         F.coalesce("spart", "part").alias("spart"),
         F.coalesce(F.col("sseg"), F.col("seg")).alias("sseg"),
@@ -497,8 +511,6 @@ def _values(segs: DataFrame) -> DataFrame:
 def segment_rows(segs: DataFrame) -> DataFrame:
     """``(doc, category, loop, spart, sseg, row, tags, vals)``, ``vals`` in tag order; free tags apart."""
     values = _values(segs)
-    if not _is_cut(segs):
-        return _gathered(values, False)
     return _gathered(values.filter("part = 0"), False).unionByName(
         _gathered_over_parts(values.filter("part > 0"))
     )
@@ -521,10 +533,9 @@ def category_rows(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = No
     known = known or known_columns()
     values = _values(segs).filter(_category(F.col("tags")[0]).isin(*known))
     shape = ["doc", "category", "tags", "vals"]
-    rows = _gathered(values.filter("part = 0") if _is_cut(segs) else values, True).select(*shape)
-    if _is_cut(segs):
-        for more in _large_rows(values.filter("part > 0"), known):
-            rows = rows.unionByName(more.select(*shape))
+    rows = _gathered(values.filter("part = 0"), True).select(*shape)
+    for more in _large_rows(values.filter("part > 0"), known):
+        rows = rows.unionByName(more.select(*shape))
     return rows
 
 

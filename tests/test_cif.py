@@ -1,5 +1,7 @@
 """Lexical cases, document cuts and rejects of the CIF reader."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,7 +144,7 @@ def test_scan(spark, tmp_path):
     files = {(r.doc, r.id) for r in cif.scan_files(spark, str(tmp_path)).collect()}
     assert files == {("a.cif", "A"), ("sub/b c.cif", "B C"), ("FULLER/e.cif", "E")}
     lines = cif.scan_lines(spark, str(tmp_path))
-    assert "part" not in lines.columns
+    assert {r.part for r in lines.select("part").distinct().collect()} == {0}
     _, rows = parse(lines)
     for doc, _ in files:
         check_good(rows.filter(F.col("doc") == doc))
@@ -160,3 +162,37 @@ def test_large_file_is_cut_at_splits(spark, tmp_path):
         check_good(parse(lines)[1])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _operators(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [m.group(1) for m in re.finditer(r"^[\s:+\-*!|]*([A-Z]\w+)", plan, re.M)]
+
+
+def test_one_plan_for_any_file_size(spark, tmp_path):
+    """A large file changes no operator, scan or shuffle of the plan; the text is read by one job."""
+    settings = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.files.maxPartitionBytes")}
+    sc = spark.sparkContext
+    found = {}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for kind, split in (("small", "128m"), ("large", "70")):
+            folder = tmp_path / kind
+            folder.mkdir()
+            for i in range(3):
+                (folder / f"c{i}.cif").write_text(GOOD.replace("xy", f"x{i}"))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            sc.setJobGroup(kind, kind)
+            rows = cif.category_rows(cif.segments(cif.units(cif.scan_lines(spark, str(folder)))))
+            got = table(rows, "chem_comp_atom", ["comp_id", "atom_id", "model_cartn_x"])
+            found[kind] = (_operators(rows), len(sc.statusTracker().getJobIdsForGroup(kind)), got)
+            if kind == "large":
+                assert cif.scan_lines(spark, str(folder)).filter("part > 0").count() > 0
+    finally:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(None, None)
+    small, large = found["small"], found["large"]
+    assert small[0] == large[0] and not any("Scan" in op and "text" in op for op in small[0])
+    assert small[1] == large[1]
+    assert small[2] == large[2] and len(small[2]) == 15
