@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import uuid
+
+from compdict.checkpoints import shared_folder
 from compdict.operators import merge, status
 from compdict.queries.registry import Roles, query
+from compdict.sources import store
 
 _STATUS = """CASE WHEN error THEN 'failed' WHEN subcomponents IS NOT NULL THEN 'compound'
   WHEN replaced_by IS NOT NULL OR upper(trim(release_status)) IN ('OBS', 'WDRN') THEN 'obsolete' ELSE 'current' END"""
@@ -158,3 +162,34 @@ FROM ({_REFRESH}) x
 """)
 def refresh_stats(r: Roles) -> DataFrame:
     return merge.refresh_stats(refreshed(r))
+
+
+@query("load_round", f"""
+WITH {_DIFF}
+SELECT 'parent' AS side, id AS comp_id, CAST(NULL AS INTEGER) AS ordinal, CAST(NULL AS VARCHAR) AS atom_id
+FROM stored WHERE upper(id) NOT IN ({_CHANGED}) AND upper(id) NOT IN ({_GONE})
+UNION ALL
+SELECT 'parent', id, NULL, NULL FROM scanned WHERE upper(id) IN ({_CHANGED})
+UNION ALL
+SELECT 'atom', comp_id, ordinal, atom_id FROM stored_atom WHERE upper(comp_id) NOT IN ({_CHANGED}) AND upper(comp_id) NOT IN ({_GONE})
+UNION ALL
+SELECT 'atom', comp_id, ordinal, atom_id FROM scanned_atom WHERE upper(comp_id) IN ({_CHANGED})
+""")
+def load_round(r: Roles) -> DataFrame:
+    """A load round on the bucketed store: stored rows written as a version, changed components
+    replaced and gone ones removed by rewriting only their buckets, the next version read back."""
+    spark = r.spark
+    root = f"{shared_folder(spark)}/store-{uuid.uuid4()}"
+    store.create(spark, root, {"parent": (r.stored.select("id", "created", "modified"), "id"), "atom": (r.stored_atom, "comp_id")})
+    new = changed(r)
+    replaced = {
+        "parent": r.scanned.join(new, F.upper("id") == F.col("_key"), "left_semi").select("id", "created", "modified"),
+        "atom": r.scanned_atom.join(new, F.upper("comp_id") == F.col("_key"), "left_semi"),
+    }
+    store.apply_round(spark, root, replaced, new.unionByName(gone(r).select("_key")))
+    parent = store.read_table(spark, root, "parent").select(
+        F.lit("parent").alias("side"), F.col("id").alias("comp_id"), F.lit(None).cast("int").alias("ordinal"),
+        F.lit(None).cast("string").alias("atom_id"),
+    )
+    atom = store.read_table(spark, root, "atom").select(F.lit("atom").alias("side"), "comp_id", "ordinal", "atom_id")
+    return parent.unionByName(atom)
