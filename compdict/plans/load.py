@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from compdict import schema
 from compdict.checkpoints import cut
 from compdict.operators import merge, quality, status
-from compdict.sources import cif
+from compdict.sources import cif, store
 
 
 @dataclass
@@ -24,6 +24,8 @@ class Loaded:
     rejects: DataFrame
     gone: DataFrame
     stats: DataFrame
+    new: dict[str, DataFrame] | None = None  # rows of the replaced components only
+    changed: DataFrame | None = None  # their keys, ``_key`` upper case
 
 
 def probe(spark: SparkSession, directory: str, known=None) -> tuple[DataFrame, DataFrame]:
@@ -100,10 +102,10 @@ def load_directory(
     )
     good = cut(good)
     changed = good.select(F.upper("stem").alias("_key"))
-    out = {}
+    out, fresh = {}, {}
     for t in tables:
         key = schema.parent_key(t)
-        new = quality.typed_table(text[t].join(good, "doc", "left_semi"), schema.CIF[t])
+        new = fresh[t] = quality.typed_table(text[t].join(good, "doc", "left_semi"), schema.CIF[t])
         kept = merge.not_in(stored[t], changed, key, any_case=True) if t in stored else None
         out[t] = new if kept is None else kept.unionByName(new)
 
@@ -119,4 +121,16 @@ def load_directory(
         F.when(F.col("late") & (F.col("status") == "current") & (F.col("change") != "unchanged"), "failed")
         .otherwise(F.col("status")),
     ).drop("late")
-    return Loaded(out, final, rejects, gone, status.load_stats(final, gone))
+    return Loaded(out, final, rejects, gone, status.load_stats(final, gone), fresh, changed)
+
+
+def load_into_store(spark: SparkSession, directory: str, root: str, tables=schema.LOADED, max_gone_fraction: float = 0.5) -> Loaded:
+    """One load round on the bucketed store below ``root``: only the buckets of changed or gone
+    components are rewritten, and the next version becomes current in one step."""
+    if store.current_version(spark, root) == 0:
+        empty = schema.empty_tables(spark, {t: schema.CIF[t] for t in tables})
+        store.create(spark, root, {t: (empty[t], schema.parent_key(t)) for t in tables})
+    stored = {t: store.read_table(spark, root, t) for t in tables}
+    run = load_directory(spark, directory, stored, tables, max_gone_fraction)
+    store.apply_round(spark, root, run.new, run.changed.unionByName(run.gone.select("_key")))
+    return run

@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from compdict.operators import merge
 from compdict.plans import load
@@ -137,3 +138,25 @@ def test_emptied_file_keeps_its_component(spark, tmp_path):
     assert sorted(r["id"] for r in again.tables["chem_comp"].select("id").collect()) == ["AAA", "BBB", "CCC"]
     assert stats(again)["total"] == 3
     assert {r["doc"] for r in again.rejects.collect()} == {"CCC.cif"}
+
+
+def test_rounds_on_the_bucketed_store(spark, tmp_path):
+    """Rounds on the store give what a whole rewrite gives; untouched buckets keep their files."""
+    from compdict.sources import store
+
+    folder, root = tmp_path / "cif", str(tmp_path / "buckets")
+    write(folder, {f"{n}/{n}.cif": component(n) for n in ("AAA", "BBB", "CCC", "DDD", "EEE")})
+    first = load.load_into_store(spark, str(folder), root, TABLES)
+    assert store.current_version(spark, root) == 2
+    assert {t: rows(store.read_table(spark, root, t)) for t in TABLES} == {t: rows(df) for t, df in first.tables.items()}
+    before = {(r.table, r.bucket): r.path for r in store.manifest(spark, root).collect() if r.path}
+
+    write(folder, {"AAA/AAA.cif": component("AAA", modified="2012-01-01", atoms=("N", "C"))})
+    second = load.load_into_store(spark, str(folder), root, TABLES)
+    got = {t: rows(store.read_table(spark, root, t)) for t in TABLES}
+    assert got == {t: rows(df) for t, df in second.tables.items()}
+    aaa = store.read_table(spark, root, "chem_comp_atom").filter("comp_id = 'AAA'").select("atom_id")
+    assert rows(aaa) == [("C",), ("N",)]
+    after = {(r.table, r.bucket): r.path for r in store.manifest(spark, root).collect() if r.path}
+    moved = {k for k in before if after.get(k) != before[k]}
+    assert moved and {b for _, b in moved} == {spark.range(1).select(store.bucket_of(F.lit("AAA"))).first()[0]}
