@@ -25,6 +25,10 @@ optimal path.  The work is cut into blocks of ``BLOCK`` consecutive rows of a co
 5. each block writes its piece of the audit and of the repaired text; the pieces of a
    conversation are joined in block order.
 
+Steps 3 and 5 run in Python over buckets of whole blocks (about ``BUCKET_BYTES`` of text a
+bucket); step 3 is needed only by conversations of more than one block, whose entry states are
+not known without it.
+
 No conversation is ever held by one task before the last step, which must form its one audit
 string and one hash.
 
@@ -52,6 +56,7 @@ ROLE = {"u": "user", "a": "assistant"}
 ENDS = ".!?"
 SPACE = r"[\x20\x09-\x0D]"
 BLOCK = 4096
+BUCKET_BYTES = 32 << 20
 INF = 1 << 40
 # row kinds: blank, duplicate (both must go), truncated, ordinary
 BLANK, DUPLICATE, TRUNC, PLAIN = "B", "P", "T", "O"
@@ -263,52 +268,63 @@ def repair(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
         suffix.join(after, _same("_c", "_c2") & (F.col("_b") == F.col("_b2")), "left")
         .select("_c", "_b", F.coalesce("_v", _longs(END)).alias("_v"), (F.col("_v").isNull()).alias("_last"),
                 F.when(F.col("_b") == 0, F.get(_mv(F.col("_m"), _longs(END)), 0)).alias("_cost"))
+        .withColumn("_blk", F.monotonically_increasing_id())
     )
-    slim = rows.select("_c", "_b", "_p", "_k", "_i")
+    # Python work goes by buckets of many blocks, so a call is not made per block; a bucket
+    # holds about BUCKET_BYTES of text, and there are as many buckets as tasks at least.
+    size = rows.agg(F.sum(F.length("_x") + 64)).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     on_block = lambda df, right: df.join(
         right.withColumnRenamed("_c", "_c2").withColumnRenamed("_b", "_b2"), _same("_c", "_c2") & (F.col("_b") == F.col("_b2"))
-    ).drop("_c2", "_b2")
-
-    # 3. state maps of the blocks
-    def maps(key, pdf):
-        pdf = pdf.sort_values("_p")
-        kinds, initials = list(pdf["_k"]), list(pdf["_i"])
-        after_v = [int(v) for v in pdf["_v"].iloc[0]]
-        last = bool(pdf["_last"].iloc[0])
-        j = _back(kinds, initials, after_v)
-        f = [_walk(kinds, initials, j, g, last)[0] for g in range(4)]
-        return pd.DataFrame({"_c": [key[0]], "_b": [key[1]], "_f": [f]})
-
-    kinds = dict(conversations.select(F.col(conv)).dtypes)
-    ckind = kinds[conv]
-    fmaps = cut(on_block(slim, ends.select("_c", "_b", "_v", "_last")).groupBy("_c", "_b").applyInPandas(maps, f"_c {ckind}, _b bigint, _f array<int>"))
+    ).drop("_c2", "_b2").withColumn("_bucket", F.pmod(F.xxhash64("_blk"), F.lit(buckets)))
+
+    # 3. state maps of the blocks of conversations with more than one
+    def maps(pdf):
+        out = []
+        for blk, group in pdf.groupby("_blk", sort=False):
+            group = group.sort_values("_p")
+            kinds, initials = list(group["_k"]), list(group["_i"])
+            j = _back(kinds, initials, [int(v) for v in group["_v"].iloc[0]])
+            out.append((blk, [_walk(kinds, initials, j, g, bool(group["_last"].iloc[0]))[0] for g in range(4)]))
+        return pd.DataFrame({"_blk": [b for b, _ in out], "_f": [f for _, f in out]})
+
+    several = ends.filter(~((F.col("_b") == 0) & F.col("_last"))).select("_c", "_b", "_blk", "_v", "_last")
+    fmaps = cut(
+        on_block(rows.select("_c", "_b", "_p", "_k", "_i"), several).groupBy("_bucket").applyInPandas(maps, "_blk long, _f array<int>")
+        .join(several.select("_blk", "_c", "_b"), "_blk").select("_c", "_b", "_f")
+    )
     # 4. prefix compositions: block b holds f_b after ... after f_0
     prefix = _double(fmaps, "_f", -1, _compose, rounds)
     entry = prefix.select(F.col("_c").alias("_c2"), (F.col("_b") + 1).alias("_b2"), F.get("_f", 0).alias("_e"))
     entries = cut(
         ends.join(entry, _same("_c", "_c2") & (F.col("_b") == F.col("_b2")), "left")
-        .select("_c", "_b", "_v", "_last", F.coalesce("_e", F.lit(0)).alias("_e"))
+        .select("_c", "_b", "_blk", "_v", "_last", F.coalesce("_e", F.lit(0)).alias("_e"))
     )
 
     # 5. pieces
-    def pieces(key, pdf):
-        pdf = pdf.sort_values("_p")
-        kinds, initials = list(pdf["_k"]), list(pdf["_i"])
-        roles, texts = list(pdf["_r"]), list(pdf["_x"])
-        j = _back(kinds, initials, [int(v) for v in pdf["_v"].iloc[0]])
-        lines: list[str] = []
-
-        def emit(letter, i, new_role):
-            if letter == "I":
-                lines.append(f"{new_role}:")
-            else:
-                lines.append(f"{new_role if letter == 'R' else roles[i]}:{texts[i]}")
-
-        _, letters = _walk(kinds, initials, j, int(pdf["_e"].iloc[0]), bool(pdf["_last"].iloc[0]), emit)
-        return pd.DataFrame({"_c": [key[0]], "_b": [key[1]], "_a": [letters], "_s": ["\n".join(lines) if lines else None]})
-
-    parts = on_block(rows.select("_c", "_b", "_p", "_k", "_i", "_r", "_x"), entries).groupBy("_c", "_b").applyInPandas(
-        pieces, f"_c {ckind}, _b bigint, _a string, _s string"
+    def pieces(pdf):
+        out = []
+        for blk, group in pdf.groupby("_blk", sort=False):
+            group = group.sort_values("_p")
+            kinds, initials = list(group["_k"]), list(group["_i"])
+            roles, texts = list(group["_r"]), list(group["_x"])
+            j = _back(kinds, initials, [int(v) for v in group["_v"].iloc[0]])
+            lines: list[str] = []
+
+            def emit(letter, i, new_role):
+                if letter == "I":
+                    lines.append(f"{new_role}:")
+                else:
+                    lines.append(f"{new_role if letter == 'R' else roles[i]}:{texts[i]}")
+
+            _, letters = _walk(kinds, initials, j, int(group["_e"].iloc[0]), bool(group["_last"].iloc[0]), emit)
+            out.append((blk, letters, "\n".join(lines) if lines else None))
+        return pd.DataFrame(out, columns=["_blk", "_a", "_s"])
+
+    parts = (
+        on_block(rows.select("_c", "_b", "_p", "_k", "_i", "_r", "_x"), entries)
+        .groupBy("_bucket").applyInPandas(pieces, "_blk long, _a string, _s string")
+        .join(entries.select("_blk", "_c", "_b"), "_blk")
     )
     ordered = F.array_sort(F.collect_list(F.struct("_b", "_a", "_s")))
     joined = parts.groupBy("_c").agg(ordered.alias("_all")).select(
