@@ -6,6 +6,7 @@ a full one for the files that are new or newer than what is stored.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,10 @@ from compdict.operators import merge, quality, status
 from compdict.sources import cif, store
 
 
+# a time after every file: no file is opened
+_NEVER = datetime.datetime(9999, 1, 1)
+
+
 @dataclass
 class Loaded:
     tables: dict[str, DataFrame]
@@ -28,15 +33,19 @@ class Loaded:
     changed: DataFrame | None = None  # their keys, ``_key`` upper case
 
 
-def probe(spark: SparkSession, directory: str, known=None) -> tuple[DataFrame, DataFrame]:
-    """First pass: ``(headers, rejects)`` of every file below a directory.
+def probe(spark: SparkSession, directory: str, known=None, docs: DataFrame | None = None, since=None) -> tuple[DataFrame, DataFrame]:
+    """First pass: ``(headers, rejects)`` of every file below a directory, or of ``docs`` only.
 
     ``headers`` is ``(doc, id, block, created, modified, obsolete, compound, error, status)``;
-    a file that yields nothing at all is there too, as failed.
+    a file that yields nothing at all is there too, as failed.  ``since`` leaves files modified
+    before it unopened; ``docs`` must all be modified then or later.
     """
-    lines = cif.scan_lines(spark, directory)
-    segs = cif.segments(cif.units(lines))
+    lines = cif.scan_lines(spark, directory, since)
     files = cif.scan_files(spark, directory)
+    if docs is not None:
+        lines = lines.join(docs, "doc", "left_semi")
+        files = files.join(docs, "doc", "left_semi")
+    segs = cif.segments(cif.units(lines))
     facts = cut(cif.document_facts(segs, known or cif.known_columns()))
     extra = cut(
         cif.unclosed_text(lines).withColumn("reason", F.lit("unclosed text field")).unionByName(
@@ -58,21 +67,29 @@ def load_directory(
     stored: dict[str, DataFrame] | None = None,
     tables=schema.LOADED,
     max_gone_fraction: float = 0.5,
+    probed: tuple[DataFrame, DataFrame] | None = None,
 ) -> Loaded:
     """Replace what changed, remove what is gone, keep the rest; one bad file harms no other.
 
-    A component that fails in either pass keeps its stored rows and is not gone.
+    A component that fails in either pass keeps its stored rows and is not gone.  ``probed``
+    gives the first pass's ``(headers, rejects)`` when they are known already; then only the
+    files of components to be parsed are opened.
     """
     stored = stored or schema.empty_tables(spark, {t: schema.CIF[t] for t in tables})
     known = cif.known_columns(tables)
-    headers, problems = probe(spark, directory, known)
+    headers, problems = probed or probe(spark, directory, known)
     have = stored["chem_comp"].select(
         "id", F.col("pdbx_initial_date").alias("created"), F.col("pdbx_modified_date").alias("modified")
     )
     compared = cut(status.compare_with_stored(headers, have))
     wanted = compared.filter("status = 'current' AND change <> 'unchanged'").select("doc", F.col("id").alias("stem"))
 
-    lines = cif.scan_lines(spark, directory).join(wanted, "doc", "left_semi")
+    since = None
+    if probed is not None:
+        # only files of wanted components are opened: the oldest of them bounds the listing
+        since = wanted.join(cif.scan_files(spark, directory).select("doc", "mtime"), "doc").agg(F.min("mtime")).first()[0]
+        since = since or _NEVER
+    lines = cif.scan_lines(spark, directory, since).join(wanted, "doc", "left_semi")
     rows = cut(cif.category_rows(cif.segments(cif.units(lines)), known))
     text = {t: cif.table_text(rows, t) for t in tables}
     bad_casts = [
@@ -125,12 +142,51 @@ def load_directory(
 
 
 def load_into_store(spark: SparkSession, directory: str, root: str, tables=schema.LOADED, max_gone_fraction: float = 0.5) -> Loaded:
-    """One load round on the bucketed store below ``root``: only the buckets of changed or gone
-    components are rewritten, and the next version becomes current in one step."""
+    """One load round on the bucketed store below ``root``: only files that differ are opened,
+    only the buckets of changed or gone components are rewritten.
+
+    Beside the tables the store keeps a file manifest, ``(doc, size, mtime)`` with the first
+    pass's header and reasons of every file.  A round lists the directory (names, sizes and
+    times, no content), takes the header of every file whose size and time are as stored from
+    the manifest, and opens only the others: files older than the oldest of them are left out
+    when Spark lists the files.  The tables are committed first, then the manifest, so a round
+    that stops between the two opens those files again next time.
+    """
+    files_root = f"{root}/files"
     if store.current_version(spark, root) == 0:
         empty = schema.empty_tables(spark, {t: schema.CIF[t] for t in tables})
         store.create(spark, root, {t: (empty[t], schema.parent_key(t)) for t in tables})
     stored = {t: store.read_table(spark, root, t) for t in tables}
-    run = load_directory(spark, directory, stored, tables, max_gone_fraction)
+    known = cif.known_columns(tables)
+    listing = cut(cif.scan_files(spark, directory))
+    if store.current_version(spark, files_root) == 0:
+        kept = None
+        changed = listing.select("doc")
+    else:
+        manifest = store.read_table(spark, files_root, "files")
+        kept = manifest.join(listing.select("doc", "size", "mtime"), ["doc", "size", "mtime"], "left_semi")
+        changed = listing.select("doc").join(kept.select("doc"), "doc", "left_anti")
+    changed = cut(changed)
+    since = listing.join(changed, "doc", "left_semi").agg(F.min("mtime")).first()[0] or _NEVER
+    headers, problems = probe(spark, directory, known, changed, since)
+    columns = headers.columns
+    if kept is not None:
+        headers = headers.unionByName(kept.select(*columns))
+        problems = problems.unionByName(kept.select("doc", F.explode("reasons").alias("reason")))
+    headers, problems = cut(headers), cut(problems)
+    run = load_directory(spark, directory, stored, tables, max_gone_fraction, (headers, problems))
     store.apply_round(spark, root, run.new, run.changed.unionByName(run.gone.select("_key")))
+
+    reasons = problems.groupBy("doc").agg(F.array_sort(F.collect_list("reason")).alias("reasons"))
+    fresh = (
+        listing.select("doc", "size", "mtime").join(changed, "doc", "left_semi")
+        .join(headers, "doc", "left").join(reasons, "doc", "left")
+        .withColumn("reasons", F.coalesce("reasons", F.array().cast("array<string>")))
+    )
+    if kept is None:
+        store.create(spark, files_root, {"files": (fresh, "doc")})
+    else:
+        gone_files = manifest.select("doc").join(listing.select("doc"), "doc", "left_anti")
+        store.apply_round(spark, files_root, {"files": fresh}, changed.unionByName(gone_files).select(F.col("doc").alias("_key")))
     return run
+

@@ -81,7 +81,7 @@ def component_id(path: Column, extension: str = "cif") -> Column:
 
 
 def scan_files(spark: SparkSession, directory: str) -> DataFrame:
-    """``(doc, id, size)`` of every wanted file; reads the listing only, no content.
+    """``(doc, id, size, mtime)`` of every wanted file; reads the listing only, no content.
 
     Spark plans no scan of a file of zero bytes; such files come from the names of its index.
     """
@@ -92,9 +92,14 @@ def scan_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("pathGlobFilter", "*.cif")
         .load(directory)
     )
-    sized = found.select(below(F.col("_metadata.file_path"), base).alias("doc"), F.col("length").alias("size"))
+    sized = found.select(
+        below(F.col("_metadata.file_path"), base).alias("doc"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
+    )
     names = spark.createDataFrame([(f,) for f in found.inputFiles()], "path string")
-    empty = names.select(below(F.col("path"), base).alias("doc")).join(sized, "doc", "left_anti").withColumn("size", F.lit(0).cast("bigint"))
+    empty = (
+        names.select(below(F.col("path"), base).alias("doc")).join(sized.select("doc"), "doc", "left_anti")
+        .withColumn("size", F.lit(0).cast("bigint")).withColumn("mtime", F.lit(None).cast("timestamp"))
+    )
     return (
         sized.unionByName(empty)
         .filter(wanted_path(F.col("doc")))
@@ -106,12 +111,14 @@ def _bytes(spark: SparkSession, setting: str) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
 
 
-def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
+def scan_lines(spark: SparkSession, directory: str, since=None) -> DataFrame:
     """Lines of every wanted file below a directory: ``(doc, part, line_no, line)``.
 
     ``part`` is 0 for a file within one scan split, else each split of the file is a part,
     numbered by where it starts.  ``line_no`` grows within a split, which is all the order
     that is needed.  There is one plan whatever the file sizes: nothing is looked at first.
+    With ``since`` (a time) only files modified then or later are opened: Spark leaves the
+    others out when it lists the files.
     """
     base = _directory(spark, directory)
     meta = F.col("_metadata")
@@ -128,6 +135,8 @@ def scan_lines(spark: SparkSession, directory: str) -> DataFrame:
         )
         .filter(wanted_path(below(F.col("path"), base)))
     )
+    if since is not None:
+        raw = raw.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
     part = F.when(F.col("size") > F.col("length"), F.col("start") + 1).otherwise(0).cast("long").alias("part")
     return raw.select(
         below(F.col("path"), base).alias("doc"),

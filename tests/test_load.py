@@ -160,3 +160,36 @@ def test_rounds_on_the_bucketed_store(spark, tmp_path):
     after = {(r.table, r.bucket): r.path for r in store.manifest(spark, root).collect() if r.path}
     moved = {k for k in before if after.get(k) != before[k]}
     assert moved and {b for _, b in moved} == {spark.range(1).select(store.bucket_of(F.lit("AAA"))).first()[0]}
+
+
+def test_unchanged_files_are_not_opened(spark, tmp_path):
+    """The file manifest decides what is read: a file of the same size and time is not opened."""
+    import os
+
+    from compdict.sources import store
+
+    folder, root = tmp_path / "cif", str(tmp_path / "buckets")
+    write(folder, {f"{n}/{n}.cif": component(n) for n in ("AAA", "BBB")})
+    write(folder, {"e/EMPTY.cif": "", "f/FFF.cif": component("FFF") + "loop_\n_chem_comp_bond.comp_id\n_chem_comp_bond.atom_id_1\nFFF\n"})
+    old = 1_000_000_000
+    for path in folder.rglob("*.cif"):
+        os.utime(path, (old, old))
+    first = load.load_into_store(spark, str(folder), root, TABLES)
+    assert stats(first)["new"] == 2 and stats(first)["failed"] == 2
+    names = rows(store.read_table(spark, root, "chem_comp").select("id", "name"))
+    assert names == [("AAA", "the AAA"), ("BBB", "the BBB")]
+
+    # same size, same time, other text: a loader that opened it would see the new name
+    path = folder / "AAA" / "AAA.cif"
+    path.write_text(component("AAA").replace("the AAA", "THE AAA"))
+    os.utime(path, (old, old))
+    second = load.load_into_store(spark, str(folder), root, TABLES)
+    assert rows(store.read_table(spark, root, "chem_comp").select("id", "name")) == names
+    assert stats(second)["unchanged"] == 2 and stats(second)["failed"] == 2
+    assert {r.doc[2:5]: r.reason for r in second.rejects.collect()} == {"FFF": "ragged", "EMP": "empty file"}
+
+    # a newer file is opened and replaces its component
+    write(folder, {"BBB/BBB.cif": component("BBB", modified="2012-01-01", atoms=("C",))})
+    third = load.load_into_store(spark, str(folder), root, TABLES)
+    assert stats(third)["updated"] == 1 and stats(third)["unchanged"] == 1
+    assert rows(store.read_table(spark, root, "chem_comp_atom").select("comp_id", "atom_id")) == [("AAA", "H1"), ("AAA", "N"), ("BBB", "C")]
