@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,3 +140,45 @@ def refresh_stats(actions: DataFrame) -> DataFrame:
         F.count(F.when(a.isin("REPLACE", "CONFLICT"), 1)).alias("updated"),
         F.count(F.when(a == "CONFLICT", 1)).alias("conflicts"),
     )
+
+
+def remove_along(
+    tables: dict[str, DataFrame], references, root: str, root_key: str, gone: DataFrame
+) -> dict[str, DataFrame]:
+    """Every table without the rows of the gone components and without every row that refers to a
+    removed row, walking ``references`` level by level from ``root``.
+
+    ``references`` are ``(child, child columns, parent, parent columns)``.  A child row leaves
+    when its columns equal the key columns of a removed row of a parent (compared as text in
+    any case); its own keys then go on to the tables that refer to it.  Only distinct keys move
+    from one level to the next, made distinct before their shuffle.  A null reference removes
+    nothing; tables the walk does not reach stay as they are.  Without the root table, edges
+    from it use the gone keys as its removed keys.
+    """
+    edges = [e for e in references if e[0] in tables and (e[2] in tables or e[2] == root) and e[0] != root]
+    if root in tables:
+        removed = {root: only_in(tables[root], gone, root_key, any_case=True)}
+        out = {root: not_in(tables[root], gone, root_key, any_case=True)}
+    else:
+        # without the root table its removed rows are known by their keys only
+        removed, out = {root: gone.select(F.col("_key").alias(root_key))}, {}
+    pending = {e[0] for e in edges}
+    while pending:
+        ready = sorted(t for t in pending if all(e[2] in removed for e in edges if e[0] == t))
+        if not ready:
+            raise ValueError(f"references form a cycle among {sorted(pending)}")
+        for table in ready:
+            kept, hits = tables[table], []
+            for child, columns, parent, parent_columns in edges:
+                if child != table:
+                    continue
+                keys = removed[parent].select(
+                    *[F.upper(F.col(c).cast("string")).alias(f"_k{i}") for i, c in enumerate(parent_columns)]
+                ).distinct()
+                same = reduce(lambda a, b: a & b, [F.upper(F.col(c).cast("string")) == keys[f"_k{i}"] for i, c in enumerate(columns)])
+                hits.append(tables[table].join(keys, same, "left_semi"))
+                kept = kept.join(keys, same, "left_anti")
+            removed[table] = reduce(DataFrame.unionByName, hits)
+            out[table] = kept
+            pending.discard(table)
+    return {name: out.get(name, df) for name, df in tables.items()}

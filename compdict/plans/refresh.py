@@ -20,18 +20,23 @@ BY_COMPONENT = {
 BY_ENTITY = ("Entity_common_name", "Entity_systematic_name")
 
 
+# The removal graph: the STAR side's references, every component table by its component key,
+# and the name tables by the saveframe of their entity.
+REMOVAL = (
+    [r for r in schema.REFERENCES if r[0][0].isupper()]
+    + [(table, (key,), "Chem_comp", ("ID",)) for table, key in BY_COMPONENT.items() if table != "Chem_comp"]
+    + [(table, ("Sf_ID",), "Entity", ("Sf_ID",)) for table in BY_ENTITY]
+)
+
+
 def remove_components(star: dict[str, DataFrame], gone: DataFrame) -> dict[str, DataFrame]:
     """All given STAR tables without the components in ``gone._key`` (upper case) and what hangs on them.
 
-    Name tables hold no component, so their rows leave with the saveframe of a removed entity.
+    The rows leave along ``REMOVAL``, level by level (``merge.remove_along``): component rows,
+    then rows that refer to removed rows, such as bonds of removed atoms and names of removed
+    entities.
     """
-    held = {table: star[table] for table in BY_COMPONENT if table in star}
-    out = merge.remove_components(held, gone, BY_COMPONENT)
-    frames = merge.keys_of(merge.only_in(star["Entity"], gone, "Nonpolymer_comp_ID", any_case=True), "Sf_ID")
-    for table in BY_ENTITY:
-        if table in star:
-            out[table] = merge.not_in(star[table], frames, "Sf_ID")
-    return {table: out.get(table, df) for table, df in star.items()}
+    return merge.remove_along(star, REMOVAL, "Chem_comp", "ID", gone)
 
 
 @dataclass

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from compdict.checkpoints import shared_folder
 from compdict.operators import ids
-from compdict.plans import entity, publish
+from compdict.plans import entity, publish, refresh
 from compdict.queries.registry import Roles, query
 
 _ENTITY = """entity AS (SELECT "ID" AS comp,
@@ -112,3 +112,40 @@ def saveframe_text(r: Roles) -> DataFrame:
         r.star_component, "ID", "Sf_framecode", "Chem_comp",
         {"Chem_comp_bond": (r.star_bond.select("Comp_ID", *_BOND), "Comp_ID", "ID")}, list(_HEAD),
     )
+
+
+_REMOVE_KEYS = {
+    "Chem_comp": "ID", "Chem_comp_atom": "Comp_ID", "Chem_comp_bond": "Comp_ID", "Entity": "Nonpolymer_comp_ID",
+    "Entity_comp_index": "Comp_ID", "Entity_common_name": "Sf_ID", "Entity_systematic_name": "Sf_ID",
+}
+
+
+@query("star_remove", f"""
+WITH {_ENTITY},
+gone AS (SELECT upper(CAST("ID" AS VARCHAR)) AS k FROM star_component WHERE "BMRB_code" = 'own'),
+kept AS (SELECT * FROM entity WHERE upper(CAST(comp AS VARCHAR)) NOT IN (SELECT k FROM gone))
+SELECT 'Chem_comp' AS tbl, CAST("ID" AS VARCHAR) AS comp, count(*) AS n FROM star_component
+  WHERE upper(CAST("ID" AS VARCHAR)) NOT IN (SELECT k FROM gone) GROUP BY 2
+UNION ALL SELECT 'Chem_comp_atom', "Comp_ID", count(*) FROM star_atom
+  WHERE "Comp_ID" IS NULL OR upper("Comp_ID") NOT IN (SELECT k FROM gone) GROUP BY 2
+UNION ALL SELECT 'Chem_comp_bond', "Comp_ID", count(*) FROM star_bond
+  WHERE "Comp_ID" IS NULL OR upper("Comp_ID") NOT IN (SELECT k FROM gone) GROUP BY 2
+UNION ALL SELECT 'Entity', CAST(comp AS VARCHAR), count(*) FROM kept GROUP BY 2
+UNION ALL SELECT 'Entity_comp_index', CAST(comp AS VARCHAR), count(*) FROM kept GROUP BY 2
+UNION ALL SELECT 'Entity_common_name', CAST(sf AS VARCHAR), count(*) FROM kept GROUP BY 2
+UNION ALL SELECT 'Entity_systematic_name', CAST(sf AS VARCHAR), 2 * count(*) FROM kept GROUP BY 2
+""")
+def star_remove(r: Roles) -> DataFrame:
+    """Components of this side's own code (``BMRB_code = 'own'``) removed from the STAR tables along
+    the reference graph; rows left per table and component (names: per saveframe)."""
+    star = {"Chem_comp": r.star_component, "Chem_comp_atom": r.star_atom, "Chem_comp_bond": r.star_bond, **entities(r)}
+    gone = r.star_component.filter("BMRB_code = 'own'").select(F.upper(F.col("ID").cast("string")).alias("_key"))
+    left = refresh.remove_components(star, gone)
+    counted = [
+        left[t].groupBy(F.col(k).cast("string").alias("comp")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("tbl"), "comp", "n")
+        for t, k in _REMOVE_KEYS.items()
+    ]
+    out = counted[0]
+    for more in counted[1:]:
+        out = out.unionByName(more)
+    return out
