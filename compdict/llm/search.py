@@ -33,12 +33,15 @@ from compdict.llm.common import ascii_lower, once
 
 # --- fixed values: what a term is, the contract's constants
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 K = 50
 SHARED_BROADCAST_ROWS = 2_000_000
 
 
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(TERM), 0)
+    """The terms of a text: it is split at runs of separators (the complement of ``TERM``);
+    only a text that starts or ends with one gives an empty part, which is dropped."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
 
 
 def shared_sets(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
