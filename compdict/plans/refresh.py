@@ -70,11 +70,13 @@ def apply_refresh(
         table: merge.only_in(cif[table], taken, schema.parent_key(table), any_case=True)
         for table in ("chem_comp", *convert.CHILDREN.values())
     }
-    done = convert.convert(upstream, remove_components(star, taken), as_of, aromatic, framecode_prefix)
+    base = remove_components(star, taken)
+    done = convert.convert(upstream, base, as_of, aromatic, framecode_prefix)
     old, new = {}, {}
     for table, df in done.tables.items():
         key = BY_COMPONENT[table]
-        old[table] = merge.not_in(df, taken, key, any_case=True)
+        # rows of components not refreshed come as stored: the fills of ``convert`` reach new rows only
+        old[table] = base[table]
         new[table] = convert.normalise_copy(merge.only_in(df, taken, key, any_case=True))
     new["Chem_comp"] = convert.recompute(new["Chem_comp"], new["Chem_comp_atom"], new["Chem_comp_bond"], as_of, aromatic)
     tables = remove_components({t: df for t, df in star.items() if t.startswith("Entity")}, taken)

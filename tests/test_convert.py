@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from compdict import schema
 from compdict.operators import derive, merge
@@ -181,3 +182,21 @@ def test_star_text_keeps_semicolons_inside(spark):
 
     got = spark.createDataFrame([("a\n;b",)], "v string").select(clean.star_value("v")).first()[0]
     assert got == "\n;a\n ;b\n;"
+
+
+def test_refresh_leaves_conflict_rows_with_nulls_as_stored(spark, cif_side, star_side):
+    """A conflict row with NULL facts and codes comes back byte for byte; fills reach refreshed rows only."""
+    nulled = ("Number_atoms_all", "Number_atoms_nh", "Aromatic", "Three_letter_code", "BMRB_code", "Sf_ID")
+    comp = star_side["Chem_comp"]
+    comp = comp.select(*[F.when(F.col("ID") == "HOH", F.lit(None).cast(t)).otherwise(F.col(c)).alias(c) if c in nulled else F.col(c)
+                         for c, t in comp.dtypes])
+    star = dict(star_side, Chem_comp=comp.coalesce(1).checkpoint())
+    atoms = star["Chem_comp_atom"]
+    star["Chem_comp_atom"] = atoms.withColumn("PDB_atom_ID", F.when(F.col("Comp_ID") == "HOH", F.lit(None)).otherwise(F.col("PDB_atom_ID")))
+    actions = spark.createDataFrame([("ALA", "REPLACE"), ("HOH", "CONFLICT")], "id string, action string")
+    done = refresh.apply_refresh(cif_side, star, actions, datetime.date(2022, 5, 6))
+    before = {r.ID: r for r in star["Chem_comp"].collect()}
+    after = {r.ID: r for r in done.tables["Chem_comp"].collect()}
+    assert after["HOH"] == before["HOH"]
+    hoh = lambda d: sorted((tuple(r) for r in d["Chem_comp_atom"].filter("Comp_ID = 'HOH'").collect()), key=str)
+    assert hoh(done.tables) == hoh(star)
