@@ -57,6 +57,8 @@ ENDS = ".!?"
 SPACE = r"[\x20\x09-\x0D]"
 BLOCK = 4096
 BUCKET_BYTES = 32 << 20
+# block tables up to this many rows are broadcast to the rows; larger ones are joined by a shuffle
+BROADCAST_BLOCKS = 1_000_000
 INF = 1 << 40
 # row kinds: blank, duplicate (both must go), truncated, ordinary
 BLANK, DUPLICATE, TRUNC, PLAIN = "B", "P", "T", "O"
@@ -274,9 +276,15 @@ def repair(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
     # holds about BUCKET_BYTES of text, and there are as many buckets as tasks at least.
     size = rows.agg(F.sum(F.length("_x") + 64)).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    on_block = lambda df, right: df.join(
-        right.withColumnRenamed("_c", "_c2").withColumnRenamed("_b", "_b2"), _same("_c", "_c2") & (F.col("_b") == F.col("_b2"))
-    ).drop("_c2", "_b2").withColumn("_bucket", F.pmod(F.xxhash64("_blk"), F.lit(buckets)))
+    def on_block(df: DataFrame, right: DataFrame) -> DataFrame:
+        """Rows with their block's values; the block table is broadcast when it is small enough."""
+        right = right.withColumnRenamed("_c", "_c2").withColumnRenamed("_b", "_b2")
+        if right.count() <= BROADCAST_BLOCKS:
+            right = F.broadcast(right)
+        return (
+            df.join(right, _same("_c", "_c2") & (F.col("_b") == F.col("_b2"))).drop("_c2", "_b2")
+            .withColumn("_bucket", F.pmod(F.xxhash64("_blk"), F.lit(buckets)))
+        )
 
     # 3. state maps of the blocks of conversations with more than one
     def maps(pdf):
@@ -288,7 +296,7 @@ def repair(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
             out.append((blk, [_walk(kinds, initials, j, g, bool(group["_last"].iloc[0]))[0] for g in range(4)]))
         return pd.DataFrame({"_blk": [b for b, _ in out], "_f": [f for _, f in out]})
 
-    several = ends.filter(~((F.col("_b") == 0) & F.col("_last"))).select("_c", "_b", "_blk", "_v", "_last")
+    several = cut(ends.filter(~((F.col("_b") == 0) & F.col("_last"))).select("_c", "_b", "_blk", "_v", "_last"))
     fmaps = cut(
         on_block(rows.select("_c", "_b", "_p", "_k", "_i"), several).groupBy("_bucket").applyInPandas(maps, "_blk long, _f array<int>")
         .join(several.select("_blk", "_c", "_b"), "_blk").select("_c", "_b", "_f")
