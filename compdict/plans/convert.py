@@ -197,18 +197,20 @@ def convert(
     as_of: date,
     aromatic: derive.Fact | None = None,
     framecode_prefix: str = "chem_comp",
+    least_id: int = 1,
 ) -> Converted:
     """Add components the STAR side does not hold yet; those it holds are never touched but for NULLs.
 
     A new child row that names no component or lacks a required value is a reject with a
     NULL value and is not stored; text that does not fit its column is a reject with that text.
+    New saveframe IDs start at ``least_id`` at least, so numbers once given need not come back.
     """
     aromatic = aromatic or derive.any_flag("Aromatic_flag")
     old = star["Chem_comp"]
     fresh = map_component(
         merge.new_only(cif["chem_comp"], old, "id", "ID"), as_of, framecode_prefix
     )
-    first = ids.next_id((old, "Sf_ID"), (star["Entity"], "Sf_ID"))
+    first = max(ids.next_id((old, "Sf_ID"), (star["Entity"], "Sf_ID")), least_id)
     components = old.unionByName(ids.surrogate_ids(fresh, "ID", "Sf_ID", first).select(*old.columns))
     parents = merge.keys_of(components, "ID")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from compdict import schema
 from compdict.checkpoints import cut
-from compdict.operators import derive, merge
+from compdict.operators import derive, ids, merge
 from compdict.plans import convert
 
 BY_COMPONENT = {
@@ -57,6 +57,9 @@ def apply_refresh(
 ) -> Refreshed:
     """Carry out the NEW and REPLACE rows of ``merge.refresh_action`` (key ``id``).
 
+    A replaced component keeps its saveframe ID; new ones get numbers above every number given
+    before this refresh, so a removed component's number is not given again by it.
+
     Their stored rows leave all STAR tables, the CIF-side rows are mapped anew, blanks and
     flags are normalised and derived values set.  A conflict touches nothing and is only
     reported; a component no longer eligible is left to removal.  Entities of replaced
@@ -71,13 +74,24 @@ def apply_refresh(
         for table in ("chem_comp", *convert.CHILDREN.values())
     }
     base = remove_components(star, taken)
-    done = convert.convert(upstream, base, as_of, aromatic, framecode_prefix)
+    # IDs are taken above every number given so far, also those of the removed rows
+    least = ids.next_id((star["Chem_comp"], "Sf_ID"), (star["Entity"], "Sf_ID"))
+    done = convert.convert(upstream, base, as_of, aromatic, framecode_prefix, least)
+    # a replaced component keeps its saveframe ID, in its rows and its children's
+    kept_ids = star["Chem_comp"].join(taken, F.upper("ID") == F.col("_key"), "left_semi").select(
+        F.upper("ID").alias("_kept"), F.col("Sf_ID").alias("_old_sf")
+    )
     old, new = {}, {}
     for table, df in done.tables.items():
         key = BY_COMPONENT[table]
         # rows of components not refreshed come as stored: the fills of ``convert`` reach new rows only
         old[table] = base[table]
-        new[table] = convert.normalise_copy(merge.only_in(df, taken, key, any_case=True))
+        fresh = convert.normalise_copy(merge.only_in(df, taken, key, any_case=True))
+        if "Sf_ID" in fresh.columns:
+            fresh = fresh.join(kept_ids, F.upper(key) == F.col("_kept"), "left").withColumn(
+                "Sf_ID", F.coalesce("_old_sf", "Sf_ID")
+            ).drop("_kept", "_old_sf")
+        new[table] = fresh
     new["Chem_comp"] = convert.recompute(new["Chem_comp"], new["Chem_comp_atom"], new["Chem_comp_bond"], as_of, aromatic)
     tables = remove_components({t: df for t, df in star.items() if t.startswith("Entity")}, taken)
     tables |= {table: old[table].unionByName(new[table].select(*old[table].columns)) for table in old}

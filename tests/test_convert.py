@@ -200,3 +200,15 @@ def test_refresh_leaves_conflict_rows_with_nulls_as_stored(spark, cif_side, star
     assert after["HOH"] == before["HOH"]
     hoh = lambda d: sorted((tuple(r) for r in d["Chem_comp_atom"].filter("Comp_ID = 'HOH'").collect()), key=str)
     assert hoh(done.tables) == hoh(star)
+
+
+def test_refresh_keeps_replaced_ids_and_never_gives_a_number_again(spark, cif_side, star_side):
+    before = {r.ID: r.Sf_ID for r in star_side["Chem_comp"].collect()}
+    top = max([v for v in before.values() if v is not None] + [r.Sf_ID for r in star_side["Entity"].collect() if r.Sf_ID is not None])
+    actions = spark.createDataFrame([("ALA", "REPLACE"), ("OLD", "NEW")], "id string, action string")
+    done = refresh.apply_refresh(cif_side, star_side, actions, datetime.date(2022, 5, 6))
+    after = {r.ID: r.Sf_ID for r in done.tables["Chem_comp"].collect()}
+    assert after["ALA"] == before["ALA"]
+    assert all(v > top for k, v in after.items() if k not in before)
+    ala = {r.Sf_ID for r in done.tables["Chem_comp_atom"].filter("Comp_ID = 'ALA'").collect()}
+    assert ala <= {before["ALA"]}
