@@ -129,3 +129,58 @@ def category_order(items: DataFrame, category: str, seq: str, where: Column | No
     """Categories by the smallest sequence number of their items."""
     rows = items if where is None else items.filter(where)
     return rows.groupBy(category).agg(F.min(seq).alias("first_seq")).orderBy("first_seq", category)
+
+
+def _violators(
+    tables: dict[str, DataFrame], component: dict[str, str], unique, not_null, references
+) -> DataFrame:
+    """``(comp, reason)``: components (upper case) with a row that breaks a rule in any table.
+
+    A unique key must hold the component column; rows with a NULL component are no component's.
+    """
+    parts = []
+    for table, df in tables.items():
+        comp = component[table]
+        for key in unique.get(table, ()):
+            if comp in key:
+                found = unique_violations(df, list(key))
+                parts.append(found.select(F.upper(F.col(comp)).alias("comp"), F.lit(f"duplicate {table} ({', '.join(key)})").alias("reason")))
+        for column in not_null.get(table, ()):
+            if column in df.columns and column != comp:
+                found = df.filter(F.col(column).isNull())
+                parts.append(found.select(F.upper(F.col(comp)).alias("comp"), F.lit(f"null {table}.{column}").alias("reason")))
+    for child, columns, parent, parent_columns in references:
+        if child in tables and parent in tables:
+            names = [f"_k{i}" for i in range(len(columns))]
+            known = tables[parent].select(*[F.col(c).alias(n) for c, n in zip(parent_columns, names)]).dropna().distinct()
+            refs = tables[child].select(F.col(component[child]).alias("_comp"), *[F.col(c).alias(n) for c, n in zip(columns, names)]).dropna(subset=names)
+            found = refs.join(known, names, "left_anti")
+            parts.append(found.select(F.upper("_comp").alias("comp"), F.lit(f"orphan {child} ({', '.join(columns)})").alias("reason")))
+    return reduce(DataFrame.unionByName, parts).filter(F.col("comp").isNotNull()).distinct()
+
+
+def constraint_closure(
+    tables: dict[str, DataFrame], component: dict[str, str], unique, not_null, references, max_rounds: int = 100,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Reject whole components that break a key, not-null or reference rule in any table.
+
+    Returns ``(rejected (comp, reason), tables without the rejected components)``.  Taking a
+    component out can leave rows of other components without their parent, so references are
+    checked again on what is left until no component is added: the closure.  Keys move between
+    rounds, never rows; ``max_rounds`` only guards against a defect and raises when reached.
+    """
+    from compdict.checkpoints import cut
+
+    def without(keys: DataFrame) -> dict[str, DataFrame]:
+        keys = keys.select(F.col("comp").alias("_rejected"))
+        return {t: df.join(keys, F.upper(F.col(component[t])) == F.col("_rejected"), "left_anti") for t, df in tables.items()}
+
+    rejected = cut(_violators(tables, component, unique, not_null, references))
+    for _ in range(max_rounds):
+        keys = rejected.select("comp").distinct()
+        left = without(keys)
+        more = cut(_violators(left, component, {}, {}, references).join(keys, "comp", "left_anti"))
+        if more.isEmpty():
+            return rejected, left
+        rejected = cut(rejected.unionByName(more))
+    raise RuntimeError("constraint closure did not settle")

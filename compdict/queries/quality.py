@@ -115,3 +115,44 @@ def constraint_report(r: Roles) -> DataFrame:
         "Chem_comp_descriptor": convert.map_child(r.descriptor, "Chem_comp_descriptor"),
     }
     return quality.constraint_report(tables, schema.UNIQUE, schema.NOT_NULL, schema.REFERENCES)
+
+
+_CLOSURE_TABLES = {
+    "chem_comp": ("component", "id"), "chem_comp_atom": ("atom", "comp_id"), "chem_comp_bond": ("bond", "comp_id"),
+    "chem_comp_tor": ("torsion", "comp_id"), "chem_comp_angle": ("angle", "comp_id"), "pdbx_chem_comp_descriptor": ("descriptor", "comp_id"),
+}
+
+
+def _closure_sql() -> str:
+    """Violating components of the CIF role tables; their references stay within a component, so one round settles."""
+    parts = []
+    for table, (role, comp) in _CLOSURE_TABLES.items():
+        for key in schema.UNIQUE.get(table, ()):
+            if comp in key:
+                cols = ", ".join(key)
+                full = " AND ".join(f"{c} IS NOT NULL" for c in key)
+                parts.append(f"SELECT upper({comp}) AS comp, 'duplicate {table} ({cols})' AS reason FROM {role} WHERE {full} GROUP BY {cols} HAVING count(*) > 1")
+        for column in schema.NOT_NULL.get(table, ()):
+            if column != comp:
+                parts.append(f"SELECT upper({comp}), 'null {table}.{column}' FROM {role} WHERE {column} IS NULL")
+    for child, columns, parent, parent_columns in schema.REFERENCES:
+        if child in _CLOSURE_TABLES and parent in _CLOSURE_TABLES:
+            role, comp = _CLOSURE_TABLES[child]
+            prole = _CLOSURE_TABLES[parent][0]
+            full = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+            tuple_ = ", ".join(columns)
+            ptuple = ", ".join(parent_columns)
+            parts.append(
+                f"SELECT upper({comp}), 'orphan {child} ({', '.join(columns)})' FROM {role} "
+                f"WHERE {full} AND ({tuple_}) NOT IN (SELECT ({ptuple}) FROM {prole} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in parent_columns) + ")"
+            )
+    return "SELECT DISTINCT comp, reason FROM (\n" + "\nUNION ALL ".join(parts) + "\n) v WHERE comp IS NOT NULL"
+
+
+@query("constraint_closure", _closure_sql())
+def constraint_closure(r: Roles) -> DataFrame:
+    """Components that break a key, not-null or reference rule in any CIF table, rejected whole."""
+    tables = {t: getattr(r, role) for t, (role, _) in _CLOSURE_TABLES.items()}
+    component = {t: comp for t, (_, comp) in _CLOSURE_TABLES.items()}
+    rejected, _ = quality.constraint_closure(tables, component, schema.UNIQUE, schema.NOT_NULL, schema.REFERENCES)
+    return rejected

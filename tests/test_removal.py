@@ -34,3 +34,21 @@ def test_a_cycle_is_refused(spark):
     with pytest.raises(ValueError):
         merge.remove_along(tables, [("p", ("id",), "q", ("id",)), ("q", ("id",), "p", ("id",))], "r", "id",
                            spark.createDataFrame([("A",)], "_key string"))
+
+
+def test_constraint_closure_takes_whole_components_until_nothing_changes(spark):
+    from compdict.operators import quality
+
+    tables = {
+        "comp": spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "id string"),
+        "atom": spark.createDataFrame([("A", "x"), ("B", "y"), ("B", "y"), ("C", "z"), ("D", None)], "comp string, name string"),
+        # A and then C lean on other components: A on B, C on A
+        "link": spark.createDataFrame([("A", "B"), ("C", "A"), ("D", None)], "comp string, other string"),
+    }
+    component = {"comp": "id", "atom": "comp", "link": "comp"}
+    unique = {"atom": [("comp", "name")]}
+    refs = [("atom", ("comp",), "comp", ("id",)), ("link", ("other",), "comp", ("id",))]
+    rejected, left = quality.constraint_closure(tables, component, unique, {"atom": ("name",)}, refs)
+    got = sorted(tuple(r) for r in rejected.collect())
+    assert got == [("A", "orphan link (other)"), ("B", "duplicate atom (comp, name)"), ("C", "orphan link (other)"), ("D", "null atom.name")]
+    assert left["comp"].count() == 0
