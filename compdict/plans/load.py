@@ -71,7 +71,8 @@ def load_directory(
 ) -> Loaded:
     """Replace what changed, remove what is gone, keep the rest; one bad file harms no other.
 
-    A component that fails in either pass keeps its stored rows and is not gone.  ``probed``
+    A component that fails in either pass keeps its stored rows and is not gone; so does one
+    whose new rows break a key, not-null or reference rule (``quality.constraint_closure``).  ``probed``
     gives the first pass's ``(headers, rejects)`` when they are known already; then only the
     files of components to be parsed are opened.
     """
@@ -118,11 +119,19 @@ def load_directory(
         .groupBy("stem").agg(F.max("doc").alias("doc"))
     )
     good = cut(good)
+    typed = {t: quality.typed_table(text[t].join(good, "doc", "left_semi"), schema.CIF[t]) for t in tables}
+    # a component whose new rows break a key, not-null or reference rule keeps its stored version
+    broken, _ = quality.constraint_closure(
+        typed, {t: schema.parent_key(t) for t in tables}, schema.UNIQUE, schema.NOT_NULL, schema.REFERENCES
+    )
+    refused = good.join(broken, F.upper("stem") == F.col("comp")).select("doc", F.concat(F.lit("constraint: "), "reason").alias("reason"))
+    rejects = cut(rejects.unionByName(refused))
+    good = cut(good.join(broken.select("comp").distinct(), F.upper("stem") == F.col("comp"), "left_anti"))
     changed = good.select(F.upper("stem").alias("_key"))
     out, fresh = {}, {}
     for t in tables:
         key = schema.parent_key(t)
-        new = fresh[t] = quality.typed_table(text[t].join(good, "doc", "left_semi"), schema.CIF[t])
+        new = fresh[t] = merge.only_in(typed[t], changed, key, any_case=True)
         kept = merge.not_in(stored[t], changed, key, any_case=True) if t in stored else None
         out[t] = new if kept is None else kept.unionByName(new)
 

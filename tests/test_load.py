@@ -193,3 +193,21 @@ def test_unchanged_files_are_not_opened(spark, tmp_path):
     third = load.load_into_store(spark, str(folder), root, TABLES)
     assert stats(third)["updated"] == 1 and stats(third)["unchanged"] == 1
     assert rows(store.read_table(spark, root, "chem_comp_atom").select("comp_id", "atom_id")) == [("AAA", "H1"), ("AAA", "N"), ("BBB", "C")]
+
+
+def test_duplicate_keys_reject_the_component(spark, tmp_path):
+    folder = tmp_path / "cif"
+    write(folder, {
+        "a/AAA.cif": component("AAA", atoms=("N", "N")),
+        "b/BBB.cif": component("BBB") + "loop_\n_chem_comp_bond.comp_id\n_chem_comp_bond.atom_id_1\n_chem_comp_bond.atom_id_2\n"
+                     "_chem_comp_bond.value_order\nBBB N XX SING\n",
+        "c/CCC.cif": component("CCC"),
+    })
+    done = load.load_directory(spark, str(folder), tables=TABLES)
+    assert [r[0] for r in rows(done.tables["chem_comp"].select("id"))] == ["CCC"]
+    reasons = {r.doc[2:5]: r.reason for r in done.rejects.collect()}
+    assert reasons == {
+        "AAA": "constraint: duplicate chem_comp_atom (comp_id, atom_id)",
+        "BBB": "constraint: orphan chem_comp_bond (comp_id, atom_id_2)",
+    }
+    assert stats(done)["failed"] == 2
