@@ -261,3 +261,15 @@ def convert_all(r: Roles) -> DataFrame:
     return done.tables["Chem_comp"].select(
         "ID", "Sf_ID", "BMRB_code", "PDB_code", "Number_atoms_all", "Number_atoms_nh", "InChI_code", "Aromatic"
     )
+
+
+@query("bond_ids", """
+SELECT comp_id, atom_id_1, atom_id_2, value_order,
+  CAST(row_number() OVER (PARTITION BY comp_id ORDER BY atom_id_1 NULLS FIRST, atom_id_2 NULLS FIRST, value_order NULLS FIRST) AS INTEGER) AS id
+FROM bond
+""")
+def bond_ids(r: Roles) -> DataFrame:
+    """A bond sequence of its own per component: numbers from 1 in atom order, over all tasks (a
+    component with most bonds is numbered by a range shuffle, not one window task)."""
+    bonds = r.bond.select("comp_id", "atom_id_1", "atom_id_2", "value_order")
+    return ids.number_within(bonds, ["comp_id"], ["atom_id_1", "atom_id_2", "value_order"], "id")
