@@ -149,24 +149,22 @@ def scan_lines(spark: SparkSession, directory: str, since=None) -> DataFrame:
 def in_parts(lines: DataFrame, max_lines: int = 2_000_000, counted: DataFrame | None = None) -> DataFrame:
     """Cut documents above ``max_lines`` lines into parts; ``part`` is 0 for all others.
 
-    One aggregation counts the lines of every document (``counted`` may name a cheaper frame
-    with one ``doc`` per line); only documents above the limit come out of it, one row each,
-    and are joined to the lines by broadcast: there are at most (lines / ``max_lines``) of them.
-    Nothing is looked at first, so the plan is the same whether a document is cut or not.
-    Line numbers may have gaps but should be spread evenly.
+    A part of a cut document is a range of ``max_lines`` line numbers (``line_no div max_lines +
+    1``), so it holds at most ``max_lines`` lines and the parts follow the document's order.  One
+    aggregation counts the lines of every document (``counted`` may name a cheaper frame with
+    one ``doc`` per line); only documents above the limit come out of it, one row each, and are
+    joined to the lines by broadcast: there are at most (lines / ``max_lines``) of them.  Nothing
+    is looked at first, so the plan is the same whether a document is cut or not.
     """
-    too_large = (lines if counted is None else counted).groupBy("doc").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_lines)
-    # the span of line numbers of those documents only: a filter in the scan, no shuffle of lines
-    sizes = (
-        lines.join(F.broadcast(too_large), "doc")
-        .groupBy("doc").agg(F.any_value("_n").alias("_n"), F.min("line_no").alias("_low"), F.max("line_no").alias("_high"))
+    too_large = (
+        (lines if counted is None else counted).groupBy("doc").agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > max_lines).select("doc", F.lit(True).alias("_cut"))
     )
-    share = (F.col("line_no") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1)
-    part = F.floor(share * F.ceil(F.col("_n") / max_lines)) + 1
+    part = F.when(F.col("_cut"), F.floor(F.col("line_no") / max_lines) + 1)
     return (
-        lines.join(F.broadcast(sizes), "doc", "left")
+        lines.join(F.broadcast(too_large), "doc", "left")
         .withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
-        .drop("_n", "_low", "_high")
+        .drop("_cut")
     )
 
 
