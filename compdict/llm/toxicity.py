@@ -10,6 +10,7 @@ Embeddings and softmax are trained jointly in numpy.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +24,8 @@ GRAMS = (3, 5)
 BUCKETS = 1 << 16
 DIMENSIONS = 4
 WINDOW, STRIDE = 16, 8
-# Words a worker keeps the scalar of; a full cache is emptied.
-CACHE = 250_000
+# Words a worker keeps the scalar of, up to this many characters each; a full cache is emptied.
+CACHE, CACHED_LENGTH = 250_000, 200
 
 
 # N-grams in fewer sampled documents than this keep a zero vector.
@@ -37,13 +38,18 @@ def words(text: str) -> list[str]:
     return text.lower().translate(PUNCTUATION).split()
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of the word's n-grams and of the word itself; only the first 40 characters of a
-    run without white space form n-grams of their own, the rest enters by its hash."""
-    head, crc = f"<{word[:40]}>".encode(), zlib.crc32
-    out = [crc(head[i : i + n]) & BUCKETS - 1 for n in GRAMS for i in range(len(head) - n + 1)]
-    out.append(crc(f"<{word}>".encode()) & BUCKETS - 1)
-    return out
+def grams(word: str) -> Iterator[int]:
+    """Buckets of all the word's n-grams, from its first character to its last, and of the word itself."""
+    whole, crc = f"<{word}>".encode(), zlib.crc32
+    for n in GRAMS:
+        for i in range(len(whole) - n + 1):
+            yield crc(whole[i : i + n]) & BUCKETS - 1
+    yield crc(whole) & BUCKETS - 1
+
+
+def gram_count(word: str) -> int:
+    size = len(word.encode()) + 2
+    return sum(max(0, size - n + 1) for n in GRAMS) + 1
 
 
 def window_means(values: np.ndarray) -> np.ndarray:
@@ -80,8 +86,9 @@ class Model:
     def word(self, w: str) -> float:
         if len(self._cache) >= CACHE:
             self._cache.clear()
-        at, table = grams(w), self._list
-        value = self._cache[w] = sum([table[g] for g in at]) / len(at)
+        value = sum(map(self._list.__getitem__, grams(w))) / gram_count(w)
+        if len(w) <= CACHED_LENGTH:
+            self._cache[w] = value
         return value
 
     def score(self, text: str) -> float:
@@ -114,7 +121,7 @@ def train(texts: list[str], toxic: list[int], weight: np.ndarray, rounds: int =
     stream, doc_of, start, end, doc = map(np.asarray, (stream, doc_of, start, end, doc))
     size = (end - start).astype(float)
     per_doc = np.bincount(doc, minlength=len(texts)).astype(float)
-    of = [np.array(grams(w)) for w in known]
+    of = [np.fromiter(grams(w), np.int64, gram_count(w)) for w in known]
     lengths = np.array([len(g) for g in of])
     flat, owner = np.concatenate(of), np.repeat(np.arange(len(of)), lengths)
     seen = np.zeros(BUCKETS, np.int64)

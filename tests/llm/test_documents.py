@@ -111,6 +111,15 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert {r["predicted"] for r in toxicity.score(odd, none).collect()} == {0}
 
 
+def test_toxicity_reads_long_words_to_their_end():
+    model = toxicity.train(["you scum", "kind words here"] * 30, [1, 0] * 30, __import__("numpy").ones(60), rounds=40)
+    run = "kind-words-here-" * 10
+    low, high = (model.score(run + end) for end in ("kind-words" * 20, "you-scum" * 25))
+    assert high > low + 0.1
+    # a word of two megabytes is scored whole and is not kept
+    assert model.score("scum" * 500_000) > 0.5 and not any(len(w) > toxicity.CACHED_LENGTH for w in model._cache)
+
+
 def test_language_held_out(spark, docs, odd):
     truth = {r[0]: r[1] for r in docs.select("doc_id", "lang").collect()}
     got = [r for r in QUERIES["op4_language"](spark, FOLDER).collect() if r["held_out"]]
