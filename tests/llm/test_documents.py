@@ -146,6 +146,23 @@ def test_licenses_of_odd_rows(spark, odd):
     assert licenses.scan(odd.filter("false")).count() == 0
 
 
+def test_licenses_are_looked_up_by_their_rarest_word(spark):
+    known = licenses.templates()
+    rows = [(i, "license license public software") for i in range(20)] + [(20, "x mit license"), (21, "mit"), (22, "mit licence")]
+    vocabulary = sorted({w for *_, words in known for w in words} - licenses.UNINDEXED)
+    found = licenses.positions(spark.createDataFrame(rows, "doc_id bigint, text string"), vocabulary, "doc_id", "text").cache()
+    places = found.selectExpr("_row", "inline(hits)").select("_row", "at", "word")
+    df = {w: 20 if w in ("license", "public") else 3 for w in vocabulary}
+    first, others = licenses.postings(known, {w: -n for w, n in df.items()})
+    assert first[0] == ("mit", 0) and others[0] == [("license", 1)]
+    candidates = licenses.looked_up(places, first).cache()
+    # rows with frequent licence words only are not looked at again
+    assert candidates.filter("t = 0").count() == 3 and candidates.filter("t <> 0").count() == 0
+    assert [r[1:] for r in licenses.verified(candidates, found, others).collect()] == [(0, 1)]
+    # with other frequencies the other word is the one looked up
+    assert licenses.postings(known, {w: 0.0 if w == "mit" else 1.0 for w in vocabulary})[0][0] == ("license", 1)
+
+
 def test_shards(spark, docs, odd):
     rows = shards.shard(docs).collect()
     size, count, slots, of = Counter(), Counter(), {}, {}
