@@ -325,6 +325,15 @@ def _lists(rows: DataFrame, short: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint, token bigint, rec bigint, n int, pos int")
 
 
+def _between(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """``(a, b, ca, cb)``: the pairs whose components ``ca``, ``cb`` differ."""
+    of = known.select("rec", "comp")
+    return (
+        pairs.join(of.select(F.col("rec").alias("a"), F.col("comp").alias("ca")), "a")
+        .join(of.select(F.col("rec").alias("b"), F.col("comp").alias("cb")), "b").filter("ca <> cb")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)``, one row per input row.
 
@@ -362,10 +371,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .join(recs.select("rec", "bits"), "rec")
         .select("token", "rec", "n", "pos", F.coalesce("label", "rec").alias("comp"), "bits")
     )
+    # links within a component are known; of all links between two components one is enough
+    known = cut(recs.select("rec", "rep").join(derived, recs["rec"] == F.col("node"), "left").select("rec", "rep", F.coalesce("label", "rec").alias("comp")))
     candidates = found.filter("a IS NOT NULL").select("a", "b").unionByName(_lists(long, None).select("a", "b")).distinct()
-    links = links.unionByName(_verified(base, candidates, recs))
+    candidates = cut(_between(candidates, known).select("a", "b"))
+    links = _between(_verified(base, candidates, recs), known).select(
+        F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")
+    ).distinct()
 
-    labelled = recs.join(components(links), recs["rec"] == F.col("node"), "left").select("rec", "rep", F.coalesce("label", "rec").alias("label"))
+    merged = components(links).select(F.col("node").alias("comp"), F.col("label").alias("merged"))
+    labelled = known.join(merged, "comp", "left").select("rec", "rep", F.coalesce("merged", "comp").alias("label"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     answer = labelled.join(least, "label").select(F.col("rec").alias("_rec"), "component_id")
     return slim.join(answer, F.col("rec") == F.col("_rec"), "left").select(

@@ -46,6 +46,21 @@ def test_jaccard_on_crowds_ties_and_odd_rows(spark, monkeypatch):
     assert got == brute.components(rows)
 
 
+def test_jaccard_links_of_a_crowd_stay_few(spark, monkeypatch):
+    rng, edges, plain = random.Random(6), [], jaccard.components
+    rows = list(enumerate(variants(rng, [f"w{i}" for i in range(120)], 80, 2) + variants(rng, [f"v{i}" for i in range(90)], 80, 4)))
+
+    def counted(df):
+        edges.append(df.count())
+        return plain(df)
+
+    monkeypatch.setattr(jaccard, "components", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert Counter(tuple(r) for r in jaccard.near_duplicates(docs).collect()) == brute.components(rows)
+    # one edge of two components at most, not one of every two near copies
+    assert edges[-1] < len(rows)
+
+
 def test_jaccard_of_nothing(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
