@@ -6,11 +6,13 @@ number of the piece, growing along the document, and ``line_no`` orders the line
 
 Files larger than a scan split arrive cut at the split borders, and a table cuts its large
 documents with ``in_parts``.  The plan is the same whatever the sizes, with one scan of the
-text: all windows run per ``(doc, part)`` in the partitions of one shuffle, so one huge
-document is spread over its parts.  A part after the first is lexed from both states it may
-begin in (inside a text field or not); the units are written once; what a part must know of
-the earlier ones (its true entry state, which segment goes on, how many values came before)
-comes from summaries of at most two rows per part, combined in part order and broadcast.
+text for documents in one piece and one for the parts of cut ones: all windows run per document
+or per ``(doc, part)``, so one huge document is spread over its parts.  Documents in one piece go
+from the lines to the rows in the partitions of one shuffle, and nothing of them is written.  A
+part of a cut document is lexed from both states it may begin in (inside a text field or not);
+its units are written once; what a part must know of the earlier ones (its true entry state,
+which segment goes on, how many values came before) comes from summaries of at most two rows per
+part, combined in part order and broadcast.
 
 Loop rows that sit on one line, which is nearly all of them, stay arrays from the
 line to the table row.  Only values that run over lines are split into cells and
@@ -152,21 +154,23 @@ def in_parts(lines: DataFrame, max_lines: int = 2_000_000, counted: DataFrame |
     A part of a cut document is a range of ``max_lines`` line numbers (``line_no div max_lines +
     1``), so it holds at most ``max_lines`` lines and the parts follow the document's order.  One
     aggregation counts the lines of every document (``counted`` may name a cheaper frame with
-    one ``doc`` per line); only documents above the limit come out of it, one row each, and are
-    joined to the lines by broadcast: there are at most (lines / ``max_lines``) of them.  Nothing
-    is looked at first, so the plan is the same whether a document is cut or not.
+    one ``doc`` per line); only documents above the limit come out of it, one row each, written
+    once and broadcast: there are at most (lines / ``max_lines``) of them.  The lines of the others
+    are one side (``is_cut`` false), those of cut documents the other, each by a join that Spark
+    can do before the rows grow to lines; the plan is the same whether a document is cut or not.
     """
-    too_large = (
+    too_large = checkpoint_cut(
         (lines if counted is None else counted).groupBy("doc").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_lines).select("doc", F.lit(True).alias("_cut"))
-    )
-    part = F.when(F.col("_cut"), F.floor(F.col("line_no") / max_lines) + 1)
-    return (
-        lines.join(F.broadcast(too_large), "doc", "left")
-        .withColumn("part", F.coalesce(part, F.lit(0)).cast("long"))
-        .drop("_cut")
+        .filter(F.col("_n") > max_lines).select("doc")
     )
 
+    def side(how: str, part: Column, is_cut: bool) -> DataFrame:
+        return lines.join(F.broadcast(too_large), "doc", how).select(
+            *lines.columns, part.cast("long").alias("part"), F.lit(is_cut).alias("is_cut")
+        )
+
+    return side("left_anti", F.lit(0), False).unionByName(side("left_semi", F.floor(F.col("line_no") / max_lines) + 1, True))
+
 
 # ------------------------------------------------------------------- units
 
@@ -193,11 +197,13 @@ def _kind(token: Column) -> Column:
 
 
 def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
-    """Split lines into units ``(doc, part, entry, semis, line_no, u, kind, vals, broken)``.
+    """Split lines into units ``(doc, part, entry, semis, line_no, u, kind, vals, broken, is_cut)``.
 
-    The lines of a part after the first are split twice: as if the part began outside a
+    The lines of a cut document's part are split twice: as if the part began outside a
     text field (``entry`` 0) and inside one (1); ``semis`` is the number of lines starting
     with ``;`` in the part.  ``segments`` keeps the split that the parts before imply.
+    Documents in one piece and cut ones (``is_cut``) are two sides of a union, each known by
+    a literal, so that what works on one side plans nothing for the other.
 
     ``kind`` is data, loop, tag, val, text (first line of a text field), cont
     (a further line of it) or reserved.  A line of nothing but values is one unit.
@@ -206,17 +212,27 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
     """
     if not _is_cut(lines):
         lines = lines.withColumn("part", F.lit(0).cast("long"))
+    if "is_cut" not in lines.columns:
+        lines = lines.withColumn("is_cut", F.col("part") > 0)
+    return _lexed(lines, False, quoted_null).unionByName(_lexed(lines, True, quoted_null))
+
+
+def _lexed(lines: DataFrame, is_cut: bool, quoted_null: bool) -> DataFrame:
+    """Units of one side of the lines."""
+    lines = lines.filter(F.col("is_cut") if is_cut else ~F.col("is_cut"))
     semi = F.col("line").startswith(";")
-    piece = ["doc", "part"]
+    piece = ["doc", "part"] if is_cut else ["doc"]
     before = Window.partitionBy(*piece).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    # a part after the first is lexed from both start states; segments keeps the true one
-    entry = F.explode(F.when(F.col("part") > 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    placed = (
-        lines.withColumn("semi", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
-        .withColumn("semis", F.sum(semi.cast("long")).over(Window.partitionBy(*piece)))
-        .select("*", entry.alias("entry"))
-        .withColumn("inside", (F.col("semi") + F.col("entry")) % 2 == 1)
-    )
+    placed = lines.withColumn("semi", F.coalesce(F.sum(semi.cast("long")).over(before), F.lit(0)))
+    if is_cut:
+        # a part is lexed from both start states; segments keeps the true one
+        placed = placed.withColumn("semis", F.sum(semi.cast("long")).over(Window.partitionBy(*piece))).select(
+            "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("entry")
+        )
+    else:
+        placed = placed.drop("part").select("*", F.lit(0).cast("long").alias("part"), F.lit(0).alias("entry"), F.lit(None).cast("long").alias("semis"))
+    placed = placed.withColumn("inside", (F.col("semi") + F.col("entry")) % 2 == 1)
+    piece = ["doc", "part"]
     piece = [*piece, "entry", "semis"]
     rest = F.substring("line", 2, 1 << 30)
     body = F.when(semi & F.col("inside"), rest).when(~semi & ~F.col("inside"), F.col("line"))
@@ -271,7 +287,7 @@ def units(lines: DataFrame, quoted_null: bool = True) -> DataFrame:
         # outer, as an inner one would be given a filter that works all of this out twice
         .select(*piece, "line_no", "broken", F.posexplode_outer("parsed").alias("u", "unit"))
         .filter("unit IS NOT NULL")
-        .select(*piece, "line_no", "u", "unit.kind", "unit.vals", "broken")
+        .select(*piece, "line_no", "u", "unit.kind", "unit.vals", "broken", F.lit(is_cut).alias("is_cut"))
     )
 
 
@@ -351,13 +367,36 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     ``tags`` (as ``category.column``) and ``i``, the index of the unit's first value
     within the segment.
 
-    One plan for any input: segments are numbered within each part (and entry state) in the
-    partitions the units were made in, the result is written once, and what a part must know
-    of the parts before it (its entry state, the segment it goes on with, values before it)
-    comes from summaries of at most two rows a part, combined in part order and broadcast:
-    there is one row per scan split of a cut document at most.
+    One plan for any input.  Documents in one piece are segmented in the partitions their units
+    were made in, and nothing of them is written.  Cut ones are segmented by part (and entry
+    state), written once, and what a part must know of the parts before it (its entry state, the
+    segment it goes on with, values before it) comes from summaries of at most two rows a part,
+    combined in part order and broadcast: there is one row per scan split of a cut document at most.
     """
-    piece = ["doc", "part", "entry"]
+    shape = ["doc", "part", *PLACE, "kind", "vals", "n", "broken"]
+    whole = _numbered(unit_rows.filter("NOT is_cut"), ["doc"]).select(
+        *shape, F.col("part").alias("spart"), F.col("seg").alias("sseg"), F.col("own_loop").alias("loop"),
+        F.col("own_tags").alias("tags"), _index(F.col("done_here")), F.lit(False).alias("is_cut"),
+    )
+    local = checkpoint_cut(_numbered(unit_rows.filter("is_cut"), ["doc", "part", "entry"]))
+    local = (
+        local.join(F.broadcast(_entries(local)), ["doc", "part"], "left")
+        .filter(F.col("entry") == F.coalesce("_true", F.lit(0)))
+        .drop("_true", "entry", "semis")
+    )
+    return whole.unionByName(local.join(F.broadcast(_continued(local)), ["doc", "part", "seg"], "left").select(
+        *shape,
+        F.coalesce("spart", "part").alias("spart"),
+        F.coalesce(F.col("sseg"), F.col("seg")).alias("sseg"),
+        F.coalesce("in_loop", "own_loop").alias("loop"),
+        F.coalesce("all_tags", "own_tags").alias("tags"),
+        _index(F.col("done_here") + F.coalesce("done", F.lit(0))),
+        F.lit(True).alias("is_cut"),
+    ))
+
+
+def _numbered(unit_rows: DataFrame, piece: list[str]) -> DataFrame:
+    """Units with the segment of their piece ``seg``, its tags and kind, and the values before them in it."""
     order = Window.partitionBy(*piece).orderBy(*PLACE)
     closed = F.lag("kind").over(order).isin("data", *VALUE_KINDS)
     starts = F.col("kind").isin("data", "loop") | ((F.col("kind") == "tag") & F.coalesce(closed, F.lit(False)))
@@ -370,26 +409,12 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy(*piece, "seg").orderBy(*PLACE)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = checkpoint_cut(
+    return (
         pieces.withColumn("done_here", F.coalesce(
             F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", _tag(F.col("vals")[0]))).over(whole))
         .withColumn("own_loop", F.first("kind").over(whole) == "loop")
     )
-    local = (
-        local.join(F.broadcast(_entries(local)), ["doc", "part"], "left")
-        .filter(F.col("entry") == F.coalesce("_true", F.lit(0)))
-        .drop("_true", "entry", "semis")
-    )
-    shape = ["doc", "part", *PLACE, "kind", "vals", "n", "broken"]
-    return local.join(F.broadcast(_continued(local)), ["doc", "part", "seg"], "left").select(
-        *shape,
-        F.coalesce("spart", "part").alias("spart"),
-        F.coalesce(F.col("sseg"), F.col("seg")).alias("sseg"),
-        F.coalesce("in_loop", "own_loop").alias("loop"),
-        F.coalesce("all_tags", "own_tags").alias("tags"),
-        _index(F.col("done_here") + F.coalesce("done", F.lit(0))),
-    )
 
 
 def _index(done: Column) -> Column:
@@ -518,8 +543,8 @@ def _values(segs: DataFrame) -> DataFrame:
 def segment_rows(segs: DataFrame) -> DataFrame:
     """``(doc, category, loop, spart, sseg, row, tags, vals)``, ``vals`` in tag order; free tags apart."""
     values = _values(segs)
-    return _gathered(values.filter("part = 0"), False).unionByName(
-        _gathered_over_parts(values.filter("part > 0"))
+    return _gathered(values.filter("NOT is_cut"), False).unionByName(
+        _gathered_over_parts(values.filter("is_cut"))
     )
 
 
@@ -540,8 +565,8 @@ def category_rows(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = No
     known = known or known_columns()
     values = _values(segs).filter(_category(F.col("tags")[0]).isin(*known))
     shape = ["doc", "category", "tags", "vals"]
-    rows = _gathered(values.filter("part = 0"), True).select(*shape)
-    for more in _large_rows(values.filter("part > 0"), known):
+    rows = _gathered(values.filter("NOT is_cut"), True).select(*shape)
+    for more in _large_rows(values.filter("is_cut"), known):
         rows = rows.unionByName(more.select(*shape))
     return rows
 
@@ -626,8 +651,13 @@ def document_facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = N
     parse errors.  With ``known`` a column unknown to its category is an error too.
     A repeated date keeps the last value; the other three count once they were set,
     so a later null does not undo them.  Every aggregate is combined before a shuffle
-    and has a state of fixed size, but for the lines of one value.
+    and has a state of fixed size, but for the lines of one value.  Documents in one piece
+    are aggregated in the partitions of the segment step.
     """
+    return _facts(segs.filter("NOT is_cut"), known).unionByName(_facts(segs.filter("is_cut"), known))
+
+
+def _facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None) -> DataFrame:
     is_tag, is_data = F.col("kind") == "tag", F.col("kind") == "data"
     place = F.struct(*_piece(segs)[1:], *PLACE)
     opening = F.col("loop") & (F.col("i") == 0) & (F.col("n") > 0)
