@@ -196,3 +196,20 @@ def test_one_plan_for_any_file_size(spark, tmp_path):
     assert small[0] == large[0] and not any("Scan" in op and "text" in op for op in small[0])
     assert small[1] == large[1]
     assert small[2] == large[2] and len(small[2]) == 15
+
+
+def test_only_cut_documents_are_written(spark, monkeypatch):
+    """Units of documents in one piece stay in their plan; only those of cut ones are checkpointed."""
+    written, plain = [], cif.checkpoint_cut
+
+    def counted(df):
+        made = plain(df)
+        written.append(made.count() if "kind" in df.columns else 0)
+        return made
+
+    monkeypatch.setattr(cif, "checkpoint_cut", counted)
+    texts = {"d": GOOD, "e": GOOD.replace("xy", "e")}
+    whole = cif.segments(cif.units(frame(spark, texts)))
+    assert sum(written) == 0 and whole.count() > 0
+    parts = cif.segments(cif.units(cif.in_parts(frame(spark, texts), 3)))
+    assert sum(written) > 0 and parts.filter("kind = 'val'").count() == whole.filter("kind = 'val'").count()
