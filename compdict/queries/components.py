@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
-from compdict.checkpoints import shared_folder
+from compdict.checkpoints import cut, shared_folder
 from compdict.operators import merge, status
 from compdict.queries.registry import Roles, query
 from compdict.sources import store
@@ -181,12 +181,12 @@ def load_round(r: Roles) -> DataFrame:
     spark = r.spark
     root = f"{shared_folder(spark)}/store-{uuid.uuid4()}"
     store.create(spark, root, {"parent": (r.stored.select("id", "created", "modified"), "id"), "atom": (r.stored_atom, "comp_id")})
-    new = changed(r)
+    new, left = cut(changed(r)), cut(gone(r).select("_key"))
     replaced = {
         "parent": r.scanned.join(new, F.upper("id") == F.col("_key"), "left_semi").select("id", "created", "modified"),
         "atom": r.scanned_atom.join(new, F.upper("comp_id") == F.col("_key"), "left_semi"),
     }
-    store.apply_round(spark, root, replaced, new.unionByName(gone(r).select("_key")))
+    store.apply_round(spark, root, replaced, new.unionByName(left))
     parent = store.read_table(spark, root, "parent").select(
         F.lit("parent").alias("side"), F.col("id").alias("comp_id"), F.lit(None).cast("int").alias("ordinal"),
         F.lit(None).cast("string").alias("atom_id"),

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from compdict.checkpoints import cut
+
 BUCKETS = 64
 # keys of a round that are joined by broadcast; more go by a shuffle join
 BROADCAST_KEYS = 1_000_000
@@ -126,7 +128,8 @@ def apply_round(
     keys = [drop.select(F.upper("_key").alias("_key"))] + [
         df.select(F.upper(F.col(by_table[name][0]["key"])).alias("_key")) for name, df in new.items()
     ]
-    drop = reduce(DataFrame.unionByName, keys).distinct()
+    # counted, put in buckets and joined with every table, so they are worked out once
+    drop = cut(reduce(DataFrame.unionByName, keys).distinct())
     touched = sorted(r[0] for r in drop.select(bucket_of(F.col("_key"), buckets)).distinct().collect())
     if drop.count() <= BROADCAST_KEYS:
         drop = F.broadcast(drop)
