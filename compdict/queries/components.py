@@ -96,7 +96,7 @@ UNION ALL
 SELECT 'child', comp_id, count(*) FROM stored_atom WHERE upper(comp_id) NOT IN ({_GONE}) GROUP BY comp_id
 """)
 def remove_gone(r: Roles) -> DataFrame:
-    keys = gone(r)
+    keys = cut(gone(r))  # used three times
     merge.guard_gone(keys, r.stored, "id", 0.9)
     left = merge.remove_components(
         {"parent": r.stored, "child": r.stored_atom}, keys, {"parent": "id", "child": "comp_id"}
