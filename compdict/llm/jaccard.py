@@ -5,9 +5,10 @@ ordered by a table of shingle frequencies (its size is fixed; how good it is cha
 never the result) and then by hash; two sets that link share a token among the first
 n - ceil(3n/4) + 1 of each.  Index lists of those tokens are walked in order of the position
 a token has in its set: once positions rule a block out, the rest of the list is skipped.
-Where many sets share a minimum hash, each is first checked against one of them; sets that
-link to it have their answers within that component derived from its answers, and lists
-only look for links between components.  All candidates are verified on whole sets.
+Where many sets share a minimum hash, each is first checked against a few of them, and so is
+each set of a long list against a few of that list, together with the pairs of short lists; the
+links found make components, and long lists are then paired only between components.  All
+candidates are verified on whole sets.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ MARK_BITS = 24
 MINIMA, CROWD = 3, 4
 # Lists up to this length are paired at once; longer ones learn of components first.
 SHORT_LIST = 8
-# Leaders of one minimum.
-LEADERS = 4
+# Leaders of one minimum, and of one long list.
+LEADERS, LIST_LEADERS = 4, 8
 BLOCK = 512
 # Word hashes a worker keeps; a full cache is emptied.
 WORD_CACHE = 250_000
@@ -268,9 +269,22 @@ def _pair_list(rec, n, pos, comp, bits) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def _led(rec, n, pos) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of a list's leaders with its other members: a fixed number a member."""
+    rest, n = n - pos, n.astype(np.int64)
+    # members whose position allows a link to one of their own size come first
+    lead = np.lexsort((mixed(rec.view(_U)), 7 * rest < 6 * n))[:LIST_LEADERS]
+    may = np.minimum.outer(rest[lead], rest) * 7 >= 3 * np.add.outer(n[lead], n)
+    may &= np.minimum.outer(n[lead], n) * 4 >= 3 * np.maximum.outer(n[lead], n)
+    may &= np.not_equal.outer(rec[lead], rec)
+    x, y = np.nonzero(may)
+    x, y = rec[lead][x], rec[y]
+    return np.minimum(x, y), np.maximum(x, y)
+
+
 def _lists(rows: DataFrame, short: int | None) -> DataFrame:
-    """Pairs ``(a, b)`` of the lists; with ``short``, rows of longer lists come out as they are;
-    without it, rows bring their parity bits.
+    """Pairs ``(a, b)`` of the lists; with ``short``, longer lists give pairs with their leaders
+    only, and their rows come out as they are; without it, rows bring their parity bits.
 
     ``rows`` are dealt by token and sorted by it; a list may span batches.
     """
@@ -302,6 +316,7 @@ def _lists(rows: DataFrame, short: int | None) -> DataFrame:
                 continue
             if short is not None and len(rec) > short:
                 long.append(s + first)
+                pairs.append(_led(rec, part["n"][s + first], part["pos"][s + first]))
             else:
                 at = s + first
                 pairs += _pair_list(rec, part["n"][at], part["pos"][at], part["comp"][at], part["bits"][at] if short is None else None)
@@ -360,11 +375,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .filter("rec <> lead.rec AND 4 * least(n, lead.n) >= 3 * greatest(n, lead.n)")
         .select(F.least("rec", "lead.rec").alias("a"), F.greatest("rec", "lead.rec").alias("b")).distinct()
     )
-    links = _verified(base, leads, recs)
-    derived = components(links)
-
     rows = _prefixes(base, levels, _marked(recs)).withColumn("comp", F.col("rec"))
     found = cut(_lists(rows, SHORT_LIST))
+    first = cut(found.filter("a IS NOT NULL").select("a", "b").unionByName(leads).distinct())
+    derived = components(_verified(base, first, recs))
+
+    # long lists are paired between the components that are known by now
     long = (
         found.filter("token IS NOT NULL").select("token", "rec", "n", "pos")
         .join(derived.select(F.col("node").alias("rec"), F.col("label")), "rec", "left")
@@ -373,8 +389,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     # links within a component are known; of all links between two components one is enough
     known = cut(recs.select("rec", "rep").join(derived, recs["rec"] == F.col("node"), "left").select("rec", "rep", F.coalesce("label", "rec").alias("comp")))
-    candidates = found.filter("a IS NOT NULL").select("a", "b").unionByName(_lists(long, None).select("a", "b")).distinct()
-    candidates = cut(_between(candidates, known).select("a", "b"))
+    candidates = cut(_lists(long, None).select("a", "b").distinct())
     links = _between(_verified(base, candidates, recs), known).select(
         F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")
     ).distinct()
