@@ -22,20 +22,23 @@ def reference_violations(
 ) -> DataFrame:
     """``(reference, key_1.., n)`` of child references no parent row answers.
 
-    All references of a child to one parent are stacked and counted per key before the
-    one anti join, so neither a second reference nor a hot key costs another pass.  A
-    reference with a NULL in it is not checked.
+    All references of a child to one parent are stacked and counted per key, a column a
+    reference, before the one anti join: the counts are combined before their shuffle, which
+    deals them by the key as the join needs them.  A reference with a NULL in it is not checked.
     """
     names = [f"key_{i + 1}" for i in range(len(parent_columns))]
     stacked = child.select(
         F.explode(F.array(*[
-            F.struct(F.lit(ref).alias("reference"), *[F.col(c).alias(n) for c, n in zip(cols, names)])
-            for ref, cols in references.items()
+            F.struct(F.lit(i).alias("_ref"), *[F.col(c).alias(n) for c, n in zip(cols, names)])
+            for i, cols in enumerate(references.values())
         ])).alias("r")
     ).select("r.*").dropna(subset=names)
-    counted = stacked.groupBy("reference", *names).agg(F.count(F.lit(1)).alias("n"))
+    counted = stacked.groupBy(*names).agg(*[F.count(F.when(F.col("_ref") == i, 1)).alias(f"_n{i}") for i in range(len(references))])
     known = parent.select(*[F.col(c).alias(n) for c, n in zip(parent_columns, names)]).dropna().distinct()
-    return counted.join(known, names, "left_anti").select("reference", *names, "n")
+    return counted.join(known, names, "left_anti").select(
+        *names,
+        F.explode(F.array(*[F.struct(F.lit(ref).alias("reference"), F.col(f"_n{i}").alias("n")) for i, ref in enumerate(references)])).alias("r"),
+    ).select("r.reference", *names, "r.n").filter("n > 0")
 
 
 def not_null_violations(df: DataFrame, columns, keep: list[str]) -> DataFrame:
