@@ -43,6 +43,8 @@ HAS_QUOTE = r"""(?:^|\s)['"]"""
 
 VALUE_KINDS = ("val", "text", "cont")
 PLACE = ("line_no", "u")
+# What segments know of themselves in documents in one piece; null in cut ones.
+OF_SEGMENT = ("head", "seg_n", "seg_data", "value_end")
 
 
 def _is_cut(df: DataFrame) -> bool:
@@ -365,7 +367,7 @@ def segments(unit_rows: DataFrame) -> DataFrame:
 
     Adds ``spart, sseg`` (identity of the segment within the document), ``loop``,
     ``tags`` (as ``category.column``) and ``i``, the index of the unit's first value
-    within the segment.
+    within the segment; for documents in one piece also ``OF_SEGMENT`` (see ``_numbered``).
 
     One plan for any input.  Documents in one piece are segmented in the partitions their units
     were made in, and nothing of them is written.  Cut ones are segmented by part (and entry
@@ -376,9 +378,9 @@ def segments(unit_rows: DataFrame) -> DataFrame:
     shape = ["doc", "part", *PLACE, "kind", "vals", "n", "broken"]
     whole = _numbered(unit_rows.filter("NOT is_cut"), ["doc"]).select(
         *shape, F.col("part").alias("spart"), F.col("seg").alias("sseg"), F.col("own_loop").alias("loop"),
-        F.col("own_tags").alias("tags"), _index(F.col("done_here")), F.lit(False).alias("is_cut"),
+        F.col("own_tags").alias("tags"), _index(F.col("done_here")), F.lit(False).alias("is_cut"), *OF_SEGMENT,
     )
-    local = checkpoint_cut(_numbered(unit_rows.filter("is_cut"), ["doc", "part", "entry"]))
+    local = checkpoint_cut(_numbered(unit_rows.filter("is_cut"), ["doc", "part", "entry"]).drop(*OF_SEGMENT))
     local = (
         local.join(F.broadcast(_entries(local)), ["doc", "part"], "left")
         .filter(F.col("entry") == F.coalesce("_true", F.lit(0)))
@@ -392,11 +394,15 @@ def segments(unit_rows: DataFrame) -> DataFrame:
         F.coalesce("all_tags", "own_tags").alias("tags"),
         _index(F.col("done_here") + F.coalesce("done", F.lit(0))),
         F.lit(True).alias("is_cut"),
-    ))
+    ), allowMissingColumns=True)
 
 
 def _numbered(unit_rows: DataFrame, piece: list[str]) -> DataFrame:
-    """Units with the segment of their piece ``seg``, its tags and kind, and the values before them in it."""
+    """Units with the segment of their piece ``seg``, its tags and kind, and the values before them in it.
+
+    For the facts of documents: ``head`` marks one first unit of a segment, ``seg_n`` is the number
+    of its values, ``seg_data`` whether it opens a block, ``value_end`` the place of its last value.
+    """
     order = Window.partitionBy(*piece).orderBy(*PLACE)
     closed = F.lag("kind").over(order).isin("data", *VALUE_KINDS)
     starts = F.col("kind").isin("data", "loop") | ((F.col("kind") == "tag") & F.coalesce(closed, F.lit(False)))
@@ -409,12 +415,18 @@ def _numbered(unit_rows: DataFrame, piece: list[str]) -> DataFrame:
     )
     inside = Window.partitionBy(*piece, "seg").orderBy(*PLACE)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        pieces.withColumn("done_here", F.coalesce(
-            F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("own_tags", F.collect_list(F.when(F.col("kind") == "tag", _tag(F.col("vals")[0]))).over(whole))
-        .withColumn("own_loop", F.first("kind").over(whole) == "loop")
-    )
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    # one select, so that one window step does all; what a query does not use is left out of it
+    return pieces.withColumn("tag", F.when(F.col("kind") == "tag", _tag(F.col("vals")[0]))).select(
+        "*",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("done_here"),
+        F.collect_list("tag").over(whole).alias("own_tags"),
+        (F.first("kind").over(whole) == "loop").alias("own_loop"),
+        (F.count(F.lit(1)).over(earlier) == 0).alias("head"),
+        F.sum("n").over(whole).alias("seg_n"),
+        F.max(F.col("kind") == "data").over(whole).alias("seg_data"),
+        F.max(F.when(F.col("kind").isin(*VALUE_KINDS), F.struct(*PLACE))).over(whole).alias("value_end"),
+    ).drop("tag")
 
 
 def _index(done: Column) -> Column:
@@ -654,10 +666,122 @@ def document_facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None = N
     and has a state of fixed size, but for the lines of one value.  Documents in one piece
     are aggregated in the partitions of the segment step.
     """
-    return _facts(segs.filter("NOT is_cut"), known).unionByName(_facts(segs.filter("is_cut"), known))
+    return _facts(segs.filter("NOT is_cut"), known).unionByName(_facts_over_parts(segs.filter("is_cut"), known))
+
+
+def _reasons(agg: dict[str, Column], known: dict[str, tuple[str, ...]] | None) -> Column:
+    """Names of the parse errors a document has, from one aggregate each."""
+    def reason(cond: Column, name: str) -> Column:
+        return F.when(F.coalesce(cond, F.lit(False)), name)
+
+    return F.array_compact(F.array(
+        reason(agg["ragged"], "ragged"),
+        reason(agg["broken"], "unclosed quote"),
+        reason(agg["reserved"], "reserved word"),
+        reason(agg["dotless"], "tag without category"),
+        reason(agg["mixed"], "mixed loop"),
+        reason(agg["repeated"], "repeated loop tag"),
+        reason(agg["blocks"] == 0, "no data block"),
+        reason(agg["blocks"] > 1, "second data block"),
+        reason(agg["place"] < agg["block"]["place"], "text before data block"),
+        *([] if known is None else [F.concat(F.lit("unknown column "), agg["unknown"])]),
+    )).alias("reasons")
+
+
+def _is_ragged(width: Column, n: Column, has_block: Column) -> Column:
+    """The values of a segment do not fill the rows of its header."""
+    return (
+        F.when(has_block, n > 0)
+        .when(F.col("loop"), (width == 0) | (n % F.greatest(width, F.lit(1)) != 0))
+        .otherwise((width != 1) | (n != 1))
+    )
+
+
+def _of_tag(tag: str) -> Column:
+    return F.filter("bits", lambda b: b.tag == tag)
 
 
 def _facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None) -> DataFrame:
+    """Facts of documents in one piece, by one aggregation per document.
+
+    The window step has told what a segment is as a whole, so only a unit of each segment and those
+    that bear a fact go into it: a document's group holds a few fixed values and its header values.
+    """
+    is_tag, is_data = F.col("kind") == "tag", F.col("kind") == "data"
+    is_value = F.col("kind").isin(*VALUE_KINDS)
+    first, width = F.get("tags", F.lit(0)), F.size("tags")
+    name = F.when(is_tag, _tag(F.col("vals")[0]))
+
+    def bit(tag: Column, v: Column) -> Column:
+        return F.struct(F.col("sseg").alias("seg"), *PLACE, tag.alias("tag"), v.alias("v"), F.col("loop"))
+
+    # the values of a free header tag; of a header column of a loop its last one
+    own = ~F.col("loop") & first.isin(*HEADER.values())
+    no_value = F.lit(None).cast("string")
+    bits = (
+        F.when(own & is_value, F.array(bit(first, F.col("vals")[0])))
+        .when(own & F.col("head") & (F.col("seg_n") == 0), F.array(bit(first, no_value)))
+        .when(
+            F.col("loop") & is_value & first.startswith("chem_comp.") & (F.struct(*PLACE) == F.col("value_end"))
+            & F.arrays_overlap("tags", F.array(*[F.lit(t) for t in HEADER.values()])),
+            F.filter(F.array(*[F.when(F.array_contains("tags", t), bit(F.lit(t), _in_loop(t))) for t in HEADER.values()]), lambda b: b.isNotNull()),
+        )
+    )
+    loop = F.col("head") & F.col("loop") & (F.col("seg_n") > 0)
+    unknown = F.lit(False) if known is None else is_tag & _category(F.col("name")).isin(*known) & ~_is_known(F.col("name"), known)
+    seen = segs.withColumn("name", name).select(
+        "doc", *PLACE, "kind", "broken", "name", "head", bits.alias("bits"),
+        F.when(is_data, F.upper(F.col("vals")[0])).alias("block"),
+        (is_tag & ~F.col("vals")[0].contains(".")).alias("dotless"),
+        (is_tag & F.col("name").startswith("chem_comp_atom.") & (F.col("seg_n") > 0)).alias("atoms"),
+        F.when(F.col("head"), _is_ragged(width, F.col("seg_n"), F.col("seg_data"))).alias("ragged"),
+        F.when(loop, F.size(F.array_distinct("tags")) < width).alias("repeated"),
+        F.when(loop, F.size(F.array_distinct(F.transform("tags", _category))) > 1).alias("mixed"),
+        unknown.alias("unknown"),
+    ).filter("head OR block IS NOT NULL OR bits IS NOT NULL OR broken OR dotless OR atoms OR unknown OR kind = 'reserved'")
+    place = F.struct(*PLACE)
+    found = seen.groupBy("doc").agg(
+        F.bool_or("ragged").alias("ragged"), F.bool_or("broken").alias("broken"),
+        F.bool_or(F.col("kind") == "reserved").alias("reserved"), F.bool_or("dotless").alias("dotless"),
+        F.bool_or("mixed").alias("mixed"), F.bool_or("repeated").alias("repeated"),
+        F.bool_or("atoms").alias("has_atoms"),
+        F.count("block").alias("blocks"),
+        F.min(F.when(F.col("block").isNotNull(), F.struct(place.alias("place"), F.col("block").alias("name")))).alias("block"),
+        F.min(place).alias("place"),
+        F.array_sort(F.flatten(F.collect_list("bits"))).alias("bits"),
+        *([] if known is None else [F.min(F.when(F.col("unknown"), F.col("name"))).alias("unknown")]),
+    )
+    found = found.select("*", *[_of_tag(t).alias(f"_{n}") for n, t in HEADER.items()])
+
+    def value(of: str, seg: Column) -> Column:
+        """The value a segment gives; rows of a loop's last place differ only where lines share a place."""
+        here = F.filter(of, lambda b: b.seg == seg)
+        text = F.array_join(F.transform(here, lambda b: b.v), "\n")
+        several = F.when(F.element_at(here, -1)["loop"], F.element_at(here, -1)["v"]).otherwise(text)
+        return clean.blank_to_null(F.when(F.size(here) == 1, here[0]["v"]).otherwise(several))
+
+    def last(name: str) -> Column:
+        of = f"_{name}"
+        return F.when(F.size(of) > 0, value(of, F.element_at(of, -1)["seg"])).alias(name)
+
+    def ever(name: str, mark=None) -> Column:
+        of = f"_{name}"
+        values = F.transform(F.array_distinct(F.transform(of, lambda b: b.seg)), lambda seg: value(of, seg))
+        if mark is None:
+            return F.array_max(values).alias(name)
+        return F.array_max(F.transform(values, lambda v: F.struct(mark(v).alias("m"), v.alias("v"))))["v"].alias(name)
+
+    agg = {c: F.col(c) for c in found.columns}
+    return found.select(
+        "doc", F.substr(F.col("block")["name"], F.lit(6)).alias("block"), "has_atoms",
+        last("initial"), last("modified"),
+        ever("replaced_by"), ever("release_status", _is_withdrawn), ever("subcomponents"),
+        _reasons(agg, known),
+    )
+
+
+def _facts_over_parts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None) -> DataFrame:
+    """Facts of cut documents: per segment, then per document."""
     is_tag, is_data = F.col("kind") == "tag", F.col("kind") == "data"
     place = F.struct(*_piece(segs)[1:], *PLACE)
     opening = F.col("loop") & (F.col("i") == 0) & (F.col("n") > 0)
@@ -695,11 +819,7 @@ def _facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None) -> DataFra
         F.min(place).alias("place"),
         *extra,
     )
-    ragged = (
-        F.when(F.col("blocks") > 0, F.col("n") > 0)
-        .when(F.col("loop"), (F.col("width") == 0) | (F.col("n") % F.greatest("width", F.lit(1)) != 0))
-        .otherwise((F.col("width") != 1) | (F.col("n") != 1))
-    )
+    ragged = _is_ragged(F.col("width"), F.col("n"), F.col("blocks") > 0)
 
     def header(name: str) -> Column:
         own = F.when(F.col("tag") == HEADER[name], F.struct(_joined(F.col("bits")).alias("v")))
@@ -715,26 +835,16 @@ def _facts(segs: DataFrame, known: dict[str, tuple[str, ...]] | None) -> DataFra
             return F.max(value).alias(name)
         return F.max(F.struct(mark(value).alias("m"), value.alias("v")))["v"].alias(name)
 
-    def reason(cond: Column, name: str) -> Column:
-        return F.when(F.coalesce(cond, F.lit(False)), name)
-
     return per_segment.groupBy("doc").agg(
         F.substr(F.min("block")["name"], F.lit(6)).alias("block"),
         F.bool_or(F.col("atoms") & (F.col("n") > 0)).alias("has_atoms"),
         last("initial"), last("modified"),
         ever("replaced_by"), ever("release_status", _is_withdrawn), ever("subcomponents"),
-        F.array_compact(F.array(
-            reason(F.bool_or(ragged), "ragged"),
-            reason(F.bool_or("broken"), "unclosed quote"),
-            reason(F.bool_or("reserved"), "reserved word"),
-            reason(F.bool_or("dotless"), "tag without category"),
-            reason(F.bool_or("mixed"), "mixed loop"),
-            reason(F.bool_or("repeated"), "repeated loop tag"),
-            reason(F.sum("blocks") == 0, "no data block"),
-            reason(F.sum("blocks") > 1, "second data block"),
-            reason(F.min("place") < F.min("block")["place"], "text before data block"),
-            *([] if known is None else [F.concat(F.lit("unknown column "), F.min("unknown"))]),
-        )).alias("reasons"),
+        _reasons({
+            "ragged": F.bool_or(ragged), **{n: F.bool_or(n) for n in ("broken", "reserved", "dotless", "mixed", "repeated")},
+            "blocks": F.sum("blocks"), "place": F.min("place"), "block": F.min("block"),
+            **({} if known is None else {"unknown": F.min("unknown")}),
+        }, known),
     )
 
 

@@ -213,3 +213,30 @@ def test_only_cut_documents_are_written(spark, monkeypatch):
     assert sum(written) == 0 and whole.count() > 0
     parts = cif.segments(cif.units(cif.in_parts(frame(spark, texts), 3)))
     assert sum(written) > 0 and parts.filter("kind = 'val'").count() == whole.filter("kind = 'val'").count()
+
+
+def test_facts_take_one_aggregation_a_document(spark):
+    """Documents in one piece are grouped by document only, never by segment."""
+    segs = cif.segments(cif.units(frame(spark, {"a": "data_a\n_chem_comp.id a\nloop_\n_chem_comp_atom.comp_id\na\n"})))
+    plan = cif.document_facts(segs.filter("NOT is_cut"))._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("Aggregate [", 1)[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
+    assert keys and all(re.fullmatch(r"doc#\d+L?", k) for k in keys)
+
+
+def test_facts_of_odd_headers(spark):
+    """Repeated header tags, tags without values, text fields and header columns of loops, whole and in parts."""
+    texts = {
+        "twice": "data_a\n_chem_comp.pdbx_replaced_by B\n_chem_comp.pdbx_replaced_by ?\n_chem_comp.pdbx_modified_date 2011-01-02\n_chem_comp.pdbx_modified_date ?\n",
+        "empty": "data_a\n_chem_comp.pdbx_modified_date 2011-01-02\n_chem_comp.pdbx_modified_date\n",
+        "text": "data_a\n_chem_comp.pdbx_subcomponent_list\n;A\nB\n;\n_chem_comp.id a\n",
+        "loop": "data_a\nloop_\n_chem_comp.id\n_chem_comp.pdbx_release_status\n_chem_comp.pdbx_initial_date\na OBS 2011-01-02\nb REL 2011-01-03\n",
+        "states": "data_a\n_chem_comp.pdbx_release_status OBS\n_chem_comp.pdbx_release_status REL\n",
+    }
+    found = {r.doc: r for r in cif.document_facts(cif.segments(cif.units(frame(spark, texts)))).collect()}
+    parts = {r.doc: r for r in cif.document_facts(cif.segments(cif.units(cif.in_parts(frame(spark, texts), 2)))).collect()}
+    assert found == parts
+    assert (found["twice"].replaced_by, found["twice"].modified) == ("B", None)
+    assert (found["empty"].modified, found["empty"].reasons) == (None, ["ragged"])
+    assert found["text"].subcomponents == "A\nB"
+    assert (found["loop"].release_status, found["loop"].initial) == ("REL", "2011-01-03")
+    assert found["states"].release_status == "OBS"
