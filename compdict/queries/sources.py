@@ -19,7 +19,7 @@ _SPREAD = 1 << 40
 def quoted(c: Column) -> Column:
     """A text that holds no line break as one CIF value."""
     c = c.cast("string")
-    plain = c.rlike(r"^[A-Za-z0-9+-][^\s]*$") & ~c.rlike(r"(?i)^(data_|save_|loop_|stop_|global_)")
+    plain = c.rlike(r"^[A-Za-z0-9+-][^\s]*$") & ~(c.contains("_") & c.rlike(r"(?i)^(data_|save_|loop_|stop_|global_)"))
     return F.when(c.isNull(), "?").when(plain, c).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
 
 

@@ -191,6 +191,8 @@ def _kind(token: Column) -> Column:
     low = F.lower(token)
     return (
         F.when(token.startswith("_"), "tag")
+        # all words of the format hold a low line, hardly any value does
+        .when(~token.contains("_"), "val")
         .when(low == "loop_", "loop")
         .when(low.startswith("data_"), "data")
         .when(low.isin("stop_", "global_"), "reserved")
@@ -255,16 +257,17 @@ def _lexed(lines: DataFrame, is_cut: bool, quoted_null: bool) -> DataFrame:
     words = F.array_remove(F.split(raw, " "), "")
     other = [raw.contains(c) for c in ("#", "\t", "\x0b", "\f", "\r")]
     tokens = F.when(reduce(or_, other, marks), F.regexp_extract_all(raw, F.lit(TOKEN), F.lit(0))).otherwise(words)
-    mixed = (raw.contains("_") | raw.contains("#")) & raw.rlike(NOT_ALL_VALUES)
+    mixed = (raw.contains("_") | raw.contains("#")) & (raw.startswith("_") | raw.rlike(NOT_ALL_VALUES))
     plain = F.transform("tokens", value) if not quoted_null else F.when(
         F.col("quoted"), F.transform("tokens", value)
     ).otherwise(F.col("tokens"))
 
     def dropped(t: Column) -> Column:
-        return t.startswith("#") | F.lower(t).startswith("save_")
+        return t.startswith("#") | (~t.startswith("_") & t.contains("_") & F.lower(t).startswith("save_"))
 
     def unit(t: Column) -> Column:
-        return F.struct(_kind(t).alias("kind"), F.array(F.when(_kind(t) == "val", value(t)).otherwise(t)).alias("vals"))
+        # only values may be quoted or null tokens, so the others stay as they are
+        return F.struct(_kind(t).alias("kind"), F.array(value(t)).alias("vals"))
 
     first, second = F.get("tokens", F.lit(0)), F.get("tokens", F.lit(1))
     single = F.transform(F.filter("tokens", lambda t: ~dropped(t)), unit)
