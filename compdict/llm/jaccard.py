@@ -53,21 +53,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+class _Words(dict):
+    """Hashes of words, worked out when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a whole text's shingles; A-Z are lower-cased."""
-    known = held("words", dict)
+    known = held("words", _Words)
     if len(known) > WORD_CACHE:
         known.clear()
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, _U)
-    hashes = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh64_intdigest(w)
-        hashes.append(h)
-    w = np.array(hashes, _U)
+    w = np.fromiter(map(known.__getitem__, words), _U, len(words))
     n = min(SHINGLE, len(w))
     total = np.full(len(w) - n + 1, n, _U)
     for k in range(n):

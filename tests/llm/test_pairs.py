@@ -116,3 +116,15 @@ def test_leaks_with_edits_and_odd_rows(spark):
     assert {r[0] for r in kept.collect()} == {k for k, _ in docs} - {d for d, _ in got}
     assert contamination.leaks(df, bench.filter("false")).count() == 0
     assert contamination.leaks(df.filter("false"), bench).count() == 0
+
+
+def test_words_are_hashed_once(monkeypatch):
+    """A word asked for again is looked up, not hashed again; sets stay those of plain hashing."""
+    from compdict.llm import common, jaccard
+
+    asked = []
+    plain = jaccard.xxhash.xxh64_intdigest
+    monkeypatch.setattr(jaccard.xxhash, "xxh64_intdigest", lambda w: asked.append(w) or plain(w))
+    monkeypatch.setattr(common, "_HELD", [None, None])
+    assert len(jaccard.shingle_set("a b A c b a b a c")) == 5
+    assert asked == [b"a", b"b", b"c"] and type(common._HELD[1]) is jaccard._Words
