@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from compdict.functions import clean
 
 
+def hashed(keys: DataFrame, *by: str) -> DataFrame:
+    """``keys`` as the hashed side of a join: a task holds its keys, and the other side streams by unsorted.
+
+    With the columns ``by`` they are joined on, the shuffle's partitions stay as they are dealt: put
+    together to a size in bytes, one task may get to hash millions of short keys.
+    """
+    if by:
+        keys = keys.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+    return keys.hint("shuffle_hash")
+
+
 def keys_of(df: DataFrame, key: str) -> DataFrame:
     """Distinct non-null keys; combined on the map side, so a hot key is one row per task."""
-    return df.select(F.col(key).alias("_key")).filter("_key IS NOT NULL").distinct()
+    return hashed(df.select(F.col(key).alias("_key")).filter("_key IS NOT NULL").distinct())
 
 
 def _norm(key: str, any_case: bool) -> Column:
@@ -69,9 +80,8 @@ def remove_components(tables: dict[str, DataFrame], gone: DataFrame, keys: dict[
 
 def cascade(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose parent survives; a child without a key has no parent to lose."""
-    return only_in(child, keys_of(parent, parent_key), child_key).unionByName(
-        child.filter(F.col(child_key).isNull())
-    )
+    keys = parent.select(F.col(parent_key).alias("_key")).filter("_key IS NOT NULL")
+    return only_in(child, hashed(keys, "_key"), child_key).unionByName(child.filter(F.col(child_key).isNull()))
 
 
 def fill_nulls(df: DataFrame, sources: dict[str, str | Column]) -> DataFrame:

@@ -52,3 +52,13 @@ def test_constraint_closure_takes_whole_components_until_nothing_changes(spark):
     got = sorted(tuple(r) for r in rejected.collect())
     assert got == [("A", "orphan link (other)"), ("B", "duplicate atom (comp, name)"), ("C", "orphan link (other)"), ("D", "null atom.name")]
     assert left["comp"].count() == 0
+
+
+def test_cascade_hashes_the_keys_and_sorts_nothing(spark):
+    child = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), ("C", 4)], "comp string, n int")
+    parent = spark.createDataFrame([("a",), ("a",), ("C",), (None,)], "id string")
+    left = merge.cascade(child, parent, "comp", "id")
+    assert sorted(left.collect(), key=str) == sorted([("a", 1), ("a", 1), (None, 3), ("C", 4)], key=str)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    # partitions stay as dealt: small ones are not put together in one task
+    assert "ShuffledHashJoin" in plan and "REPARTITION_BY_NUM" in plan and "Sort" not in plan
