@@ -66,7 +66,8 @@ def surrogate_ids(df: DataFrame, key: str, name: str, start: int) -> DataFrame:
     """
     ids = number_rows(df.select(F.col(key).alias("_key")), ["_key"], "_id", start)
     rest = df.drop(name) if name in df.columns else df
-    return rest.join(ids, F.col(key) == F.col("_key")).withColumn(name, F.col("_id").cast("int")).drop("_key", "_id")
+    # the numbers are the hashed side: rows stream by them unsorted
+    return rest.join(ids.hint("shuffle_hash"), F.col(key) == F.col("_key")).withColumn(name, F.col("_id").cast("int")).drop("_key", "_id")
 
 
 def next_id(*columns: tuple[DataFrame, str]) -> int:

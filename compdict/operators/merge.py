@@ -165,7 +165,12 @@ def remove_along(
     nothing; tables the walk does not reach stay as they are.  Without the root table, edges
     from it use the gone keys as its removed keys.
     """
-    edges = [e for e in references if e[0] in tables and (e[2] in tables or e[2] == root) and e[0] != root]
+    edges = []
+    for e in references:
+        # a reference named twice removes the same rows
+        if e[0] in tables and (e[2] in tables or e[2] == root) and e[0] != root and e not in edges:
+            edges.append(e)
+    gone = hashed(gone)
     if root in tables:
         removed = {root: only_in(tables[root], gone, root_key, any_case=True)}
         out = {root: not_in(tables[root], gone, root_key, any_case=True)}
@@ -182,9 +187,9 @@ def remove_along(
             for child, columns, parent, parent_columns in edges:
                 if child != table:
                     continue
-                keys = removed[parent].select(
+                keys = hashed(removed[parent].select(
                     *[F.upper(F.col(c).cast("string")).alias(f"_k{i}") for i, c in enumerate(parent_columns)]
-                ).distinct()
+                ).distinct())
                 same = reduce(lambda a, b: a & b, [F.upper(F.col(c).cast("string")) == keys[f"_k{i}"] for i, c in enumerate(columns)])
                 hits.append(tables[table].join(keys, same, "left_semi"))
                 kept = kept.join(keys, same, "left_anti")

@@ -40,7 +40,7 @@ def linked(components: DataFrame, entities: DataFrame) -> DataFrame:
     e = entities.select(
         F.col("Nonpolymer_comp_ID").alias("_comp"), F.col("Sf_ID").alias("e_sf"), F.col("ID").alias("e_id")
     )
-    return components.select("ID", "Name", "Three_letter_code").join(e, F.col("ID") == F.col("_comp")).drop("_comp")
+    return components.select("ID", "Name", "Three_letter_code").join(merge.hashed(e), F.col("ID") == F.col("_comp")).drop("_comp")
 
 
 def common_name(pairs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from compdict import schema
 from compdict.operators import merge
 
 REFS = [
@@ -29,6 +30,31 @@ def test_rows_leave_level_by_level(spark):
     assert left["other"] == [("a",)]
 
 
+def test_removed_keys_are_hashed_and_a_reference_named_twice_is_walked_once(spark):
+    tables = {
+        "comp": spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "id string"),
+        "atom": spark.createDataFrame([("A", "x"), ("A", "x"), ("b", "y"), (None, "z")], "comp string, name string"),
+    }
+    gone = spark.createDataFrame([("A",), ("A",), (None,)], "_key string")
+    left = merge.remove_along(tables, [REFS[0], REFS[0]], "comp", "id", gone)
+    plan = left["atom"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted((tuple(r) for r in left["comp"].collect()), key=str) == sorted([("b",), (None,)], key=str)
+    assert sorted((tuple(r) for r in left["atom"].collect()), key=str) == sorted([("b", "y"), (None, "z")], key=str)
+    # atoms without the removed components, and those components found by the gone keys
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_entities_are_built_without_a_sorted_join(spark):
+    from compdict.plans import entity
+
+    row = {f.name: None for f in schema.STAR["Chem_comp"].fields}
+    components = spark.createDataFrame([{**row, "ID": k, "Sf_ID": 4} for k in ("b", "a")], schema.STAR["Chem_comp"])
+    built = entity.build_entities(components)
+    assert sorted((r["Nonpolymer_comp_ID"], r["Sf_ID"]) for r in built["Entity"].collect()) == [("a", 5), ("b", 6)]
+    assert sorted((r["Comp_ID"], r["Sf_ID"]) for r in built["Entity_comp_index"].collect()) == [("a", 5), ("b", 6)]
+    assert "SortMergeJoin" not in built["Entity_comp_index"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_cycle_is_refused(spark):
     tables = {n: spark.createDataFrame([("a",)], "id string") for n in ("r", "p", "q")}
     with pytest.raises(ValueError):
