@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from compdict.checkpoints import cut
+from compdict.operators import merge
 
 
 def number_rows(
@@ -59,15 +60,17 @@ def number_within(df: DataFrame, group: list[str], order_by: list[str], name: st
     )
 
 
-def surrogate_ids(df: DataFrame, key: str, name: str, start: int) -> DataFrame:
+def surrogate_ids(df: DataFrame, key: str, name: str, start: int, hashed: bool = False) -> DataFrame:
     """Give rows with a unique key consecutive IDs in key order, from ``start``.
 
-    Only the keys are sorted and written; the rows join back on them.
+    Only the keys are sorted and written; the rows join back on them, on request unsorted
+    (``merge.hashed``).
     """
     ids = number_rows(df.select(F.col(key).alias("_key")), ["_key"], "_id", start)
+    if hashed:
+        ids = merge.hashed(ids, "_key")
     rest = df.drop(name) if name in df.columns else df
-    # the numbers are the hashed side: rows stream by them unsorted
-    return rest.join(ids.hint("shuffle_hash"), F.col(key) == F.col("_key")).withColumn(name, F.col("_id").cast("int")).drop("_key", "_id")
+    return rest.join(ids, F.col(key) == F.col("_key")).withColumn(name, F.col("_id").cast("int")).drop("_key", "_id")
 
 
 def next_id(*columns: tuple[DataFrame, str]) -> int:

@@ -40,7 +40,7 @@ def linked(components: DataFrame, entities: DataFrame) -> DataFrame:
     e = entities.select(
         F.col("Nonpolymer_comp_ID").alias("_comp"), F.col("Sf_ID").alias("e_sf"), F.col("ID").alias("e_id")
     )
-    return components.select("ID", "Name", "Three_letter_code").join(merge.hashed(e), F.col("ID") == F.col("_comp")).drop("_comp")
+    return components.select("ID", "Name", "Three_letter_code").join(e, F.col("ID") == F.col("_comp")).drop("_comp")
 
 
 def common_name(pairs: DataFrame) -> DataFrame:
@@ -79,9 +79,9 @@ def build_entities(components: DataFrame, existing: DataFrame | None = None) ->
     fresh = map_entity(merge.new_only(components, existing, "ID", "Nonpolymer_comp_ID"))
     first = ids.next_id((components, "Sf_ID"), (existing, "Sf_ID"))
     entities = existing.unionByName(
-        ids.surrogate_ids(fresh, "Nonpolymer_comp_ID", "Sf_ID", first).select(*existing.columns)
+        ids.surrogate_ids(fresh, "Nonpolymer_comp_ID", "Sf_ID", first, hashed=True).select(*existing.columns)
     )
-    pairs = linked(components, entities)
+    pairs = linked(components, merge.hashed(entities, "Nonpolymer_comp_ID"))
     parts = {
         "Entity_common_name": common_name(pairs),
         "Entity_systematic_name": systematic_name(pairs),
